@@ -7,12 +7,15 @@
 3. Registers are banded, ROWS at a time; empty ones borrow from a fixed random
    order of the others, so short texts are banded like long ones. Two sets of
    similarity 0.75 miss all BANDS bands with probability 5e-6.
-4. Candidate pairs of a bucket (classes that share a band): both of two; all
-   pairs up to SMALL; beyond that, the smallest id with every other.
+4. Classes that share a band are in one bucket. First, each class is paired with
+   the smallest id among its buckets. A bucket that is all in one component then
+   has no link to add. In the others, the smallest id is paired with every class
+   outside its component, and in buckets up to SMALL all classes of different
+   components are paired.
 5. A pair goes on if its collision-corrected Jaccard estimate is not more than
    SIGMAS deviations below the threshold, and is then confirmed by intersection
-   of the full sets. Rounds confirm each class's best pair first; pairs whose
-   ends have come to one component need no confirming.
+   of the full sets, each class's best pair first; pairs whose ends have come to
+   one component need no confirming.
 6. Buckets over SMALL whose classes are still in several components are not
    capped: classes outside the smallest id's component are compared, by
    sketches, with all of the bucket in square blocks, and what passes the
@@ -165,15 +168,30 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
 
 
-def candidates(buckets: DataFrame, large: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b. buckets: (bucket, n, low, high) with n >= 2;
-    large: (bucket, node, n, low), the members of those with n >= 3."""
-    two = buckets.filter("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    star = large.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    few = large.filter(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-    rest = few.select(F.posexplode("nodes").alias("at", "a"), "nodes").filter("at > 0")
-    pairs = rest.select("a", F.explode(F.slice("nodes", F.col("at") + 2, F.size("nodes"))).alias("b"))
-    return two.unionByName(star).unionByName(pairs).distinct()
+def first_pairs(large: DataFrame) -> DataFrame:
+    """(a, b): for each class the smallest one that it shares a bucket with, if
+    smaller than itself. large: (bucket, node, n, low)."""
+    return large.groupBy("node").agg(F.min("low").alias("a")).filter("a < node").select("a", F.col("node").alias("b"))
+
+
+def named(large: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of buckets with their component and their smallest id's (head)."""
+    if labels is None:
+        return large.withColumn("component", F.col("node")).withColumn("head", F.col("low"))
+    own = large.join(labels.toDF("node", "component"), "node", "left").join(labels.toDF("low", "head"), "low", "left")
+    return own.withColumn("component", F.coalesce("component", "node")).withColumn("head", F.coalesce("head", "low"))
+
+
+def further_pairs(open_: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, between components: the smallest id of a bucket
+    with every class outside its component, and in buckets up to SMALL all
+    pairs. open_: members of buckets in several components."""
+    star = open_.filter("component <> head").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    few = open_.filter(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set(F.struct("node", "component"))).alias("all"))
+    one = few.select(F.posexplode("all").alias("at", "x"), "all")
+    rest = F.filter(F.slice("all", F.col("at") + 2, F.size("all")), lambda y: y["component"] != F.col("x.component"))
+    pairs = one.select(F.col("x.node").alias("a"), F.explode(rest).alias("y")).select("a", F.col("y.node").alias("b"))
+    return star.unionByName(pairs).distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -220,7 +238,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return salted.join(right, "b").join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def full_sets(df: DataFrame, ids: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def full_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, hashes) of the classes among ``ids`` (node), from the texts."""
     texts = df.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     few = ids.count() <= BROADCAST_IDS
@@ -229,13 +247,11 @@ def full_sets(df: DataFrame, ids: DataFrame, classes: DataFrame, id_col: str, te
     return made.filter(F.length("hashes") > 0)
 
 
-def in_blocks(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def in_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b, likely): pairs of large buckets that the smallest id has not joined.
-    members: (bucket, node, low). Every class outside the component of the
-    bucket's smallest id meets all of the bucket."""
-    named = members.join(labels.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    heads = labels.toDF("low", "head")
-    named = named.join(heads, "low", "left").withColumn("head", F.coalesce("head", "low"))
+    members: (bucket, node, component, head). Every class outside the component
+    of the bucket's smallest id meets all of the bucket."""
+    named = members
     outside = F.col("component") != F.col("head")
     counts = named.groupBy("bucket").agg(F.sum(outside.cast("long")).alias("outside")).filter("outside > 0").withColumn("blocks", F.ceil(F.col("outside") / BLOCK).cast("int"))
     # Large inner parts are cut too, so that no block holds more than about BLOCK of either side.
@@ -273,27 +289,47 @@ def in_blocks(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
     return rows.groupBy("bucket", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint, likely double").distinct()
 
 
-def link(pairs: DataFrame, labels: DataFrame | None, links: DataFrame | None, sets: DataFrame, scratch: Scratch):
-    """Confirm pairs until none is left between two components. Returns the
-    components and all confirmed links."""
-    left = pairs
-    for turn in range(1000):
-        if labels is not None:
-            la, lb = labels.toDF("a", "ca"), labels.toDF("b", "cb")
-            left = left.join(la, "a", "left").join(lb, "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "likely")
-            left = scratch.keep(left)
-        if left.isEmpty():
-            break
-        if turn < 2:  # each class's best pair; later, whatever is left
-            best = left.groupBy("b").agg(F.max(F.struct("likely", F.negative("a").alias("minus"))).alias("top")).select(F.negative("top.minus").alias("a"), "b")
-        else:
-            best = left.select("a", "b")
-        best = scratch.keep(best)
-        found = scratch.keep(confirmed(best, sets))
-        links = found if links is None else scratch.keep(links.unionByName(found))
-        labels = components(links, scratch)
-        left = left.join(best, ["a", "b"], "left_anti")
-    return labels, links
+class Links:
+    """Confirmed links and the components that they make."""
+
+    def __init__(self, df: DataFrame, scratch: Scratch, id_col: str, text_col: str):
+        self.df, self.scratch, self.id_col, self.text_col = df, scratch, id_col, text_col
+        self.links: DataFrame | None = None
+        self.labels: DataFrame | None = None
+        self.sets: DataFrame | None = None
+
+    def add(self, links: DataFrame) -> None:
+        if not links.isEmpty():
+            self.links = links if self.links is None else self.scratch.keep(self.links.unionByName(links))
+            self.labels = components(self.links, self.scratch)
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose ends are in two components."""
+        if self.labels is None:
+            return pairs
+        ends = pairs.join(self.labels.toDF("a", "ca"), "a", "left").join(self.labels.toDF("b", "cb"), "b", "left")
+        return ends.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(pairs.columns)
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Hold all pairs (a, b, likely) against the full sets."""
+        ids = self.scratch.keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        if self.sets is not None:
+            ids = self.scratch.keep(ids.join(self.sets.select("node"), "node", "left_anti"))
+        if not ids.isEmpty():
+            more = self.scratch.keep(full_sets(self.df, ids, self.id_col, self.text_col))
+            self.sets = more if self.sets is None else self.sets.unionByName(more)
+        self.add(self.scratch.keep(confirmed(pairs, self.sets)))
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Confirm each class's best pair, then those that are still apart."""
+        if pairs.isEmpty():
+            return
+        top = pairs.groupBy("b").agg(F.max(F.struct("likely", F.negative("a").alias("minus"))).alias("top"))
+        best = self.scratch.keep(top.select(F.negative("top.minus").alias("a"), "b", "top.likely"))
+        self.confirm(best)
+        left = self.scratch.keep(self.apart(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")))
+        if not left.isEmpty():
+            self.confirm(left)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,28 +341,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # A class's rows agree in sketch and size, so any of each will do.
     classes = scratch.keep(known.groupBy("class").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch")))
     banded, banded_path = scratch.write(bands(classes))
-    buckets = scratch.keep(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("n >= 2"))
-    large = scratch.keep(banded.join(buckets.filter("n >= 3").select("bucket", "n", "low"), "bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("low")).filter("n >= 2")
+    large, large_path = scratch.write(banded.join(shared, "bucket"))
     scratch.drop(banded_path)
-    pairs = scratch.keep(estimated(candidates(buckets, large).filter("a <> b"), classes))
-    ids = scratch.keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    sets, sets_path = scratch.write(full_sets(df, ids, classes, id_col, text_col))
+    links = Links(df, scratch, id_col, text_col)
     # Rows of one id with different texts are one document.
     nodes = known.join(classes.select("class", "node"), "class").select("doc_id", "node")
     several = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.collect_set("node").alias("all")).filter("a <> b")
-    same = scratch.keep(several.select("a", F.explode("all").alias("b")).filter("a <> b"))
-    links = None if same.isEmpty() else same
-    labels = None if links is None else components(links, scratch)
-    labels, links = link(pairs, labels, links, sets, scratch)
-    hot = large.filter(F.col("n") > SMALL).select("bucket", "node", "low")
+    links.add(scratch.keep(several.select("a", F.explode("all").alias("b")).filter("a <> b")))
+    first = scratch.keep(estimated(first_pairs(large), classes))
+    if not first.isEmpty():
+        links.confirm(first)
+    # Buckets that are all in one component by now have no link to add.
+    told = named(large, links.labels)
+    open_ = told.join(told.filter("component <> head").select("bucket").distinct(), "bucket", "left_semi")
+    open_, open_path = scratch.write(open_)
+    scratch.drop(large_path)
+    tried = scratch.keep(estimated(further_pairs(open_).join(first.select("a", "b"), ["a", "b"], "left_anti"), classes))
+    links.settle(tried)
+    hot = open_.filter(F.col("n") > SMALL).select("bucket", "node", "n", "low")
     if not hot.isEmpty():
-        known_labels = labels if labels is not None else spark.createDataFrame([], "node bigint, component bigint")
-        rest = scratch.keep(in_blocks(hot, known_labels, classes).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            more = scratch.keep(rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct().join(ids, "node", "left_anti"))
-            sets = sets.unionByName(scratch.keep(full_sets(df, more, classes, id_col, text_col)))
-            labels, links = link(rest, labels, links, sets, scratch)
-    scratch.drop(sets_path)
+        rest = in_blocks(named(hot, links.labels), classes).join(first.unionByName(tried).select("a", "b"), ["a", "b"], "left_anti")
+        links.settle(scratch.keep(rest))
+    scratch.drop(open_path)
+    labels = links.labels
     out = made.select("doc_id", "n_shingles", "class").join(classes.select("class", "node"), "class", "left")
     if labels is not None:
         out = out.join(labels, "node", "left")
