@@ -1,67 +1,25 @@
-"""What the operators share: reading tables, shared scratch tables, Arrow maps."""
+"""What the operators share: reading tables, Arrow maps, bounded results."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import Scratch, ship
+
+__all__ = ["Scratch", "collect_bounded", "map_batches", "read_table", "ship"]
+
 #: Rows and bytes that one Arrow batch brings to a Python worker at most. Texts
 #: may hold 100,000 characters and more, so batches are kept below the defaults.
 BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
 
-_own: dict[str, str] = {}
-_shipped: set[str] = set()
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary
-    one of our own only where that setting is absent (tests, one machine)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = tempfile.mkdtemp(prefix="tessera-")
-        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-    return f"file://{_own[app]}"
-
-
-class Scratch:
-    """Tables written to the shared folder, so that no later step depends on
-    the executors that computed them."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        self.count = 0
-
-    def write(self, df: DataFrame) -> tuple[DataFrame, str]:
-        path = f"{self.base}/{self.count}"
-        self.count += 1
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), path
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        return self.write(df)[0]
-
-    def drop(self, path: str) -> None:
-        jvm, sc = self.spark._jvm, self.spark.sparkContext
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def map_batches(
     df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str
 ) -> DataFrame:
@@ -85,21 +43,6 @@ def map_batches(
     return df.mapInArrow(run, shape)
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    _shipped.add(sc.applicationId)
-    package = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="tessera-code-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    with zipfile.ZipFile(path := f"{folder}/{package.name}_code.zip", "w") as z:
-        for file in sorted(package.rglob("*.py")):
-            z.write(file, f"{package.name}/{file.relative_to(package)}")
-    sc.addPyFile(path)
-
-
 def collect_bounded(df: DataFrame, most: int, what: str) -> list:
     """Rows of a result whose size has a documented bound; it is an error, not a
     silent cut, if the bound doesn't hold."""
