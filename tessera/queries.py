@@ -207,13 +207,13 @@ def walk_sample(spark, d):
 
 
 @query(f"""WITH {GEO}, {BOTH}, drawn AS (SELECT s.sample, n.node, row_number() OVER (PARTITION BY s.sample ORDER BY md5('bridge|' || s.sample || '|' || n.node), n.node) AS place
-  FROM range(6) s(sample), (SELECT DISTINCT a AS node FROM und) n QUALIFY place <= 2),
+  FROM (SELECT range AS sample FROM range(6)) s, (SELECT DISTINCT a AS node FROM und) n QUALIFY place <= 2),
 hop AS (SELECT DISTINCT d.node, x.b FROM (SELECT DISTINCT node FROM drawn) d JOIN und x ON x.a = d.node),
 near AS (SELECT node, b FROM hop UNION SELECT h.node, y.b FROM hop h JOIN und y ON y.a = h.b WHERE y.b <> h.node),
 few AS (SELECT node, b, row_number() OVER (PARTITION BY node ORDER BY b) AS k FROM near QUALIFY k < 3),
 rows_ AS (SELECT sample, place, 0 AS k, node FROM drawn UNION ALL SELECT sample, place, s.k, s.b FROM drawn JOIN few s USING (node)),
-first AS (SELECT sample, node, min((place, k)) AS at FROM rows_ GROUP BY sample, node)
-SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY at)::INT AS pos, node FROM first""")
+first AS (SELECT sample, node, min((place, k)) AS w FROM rows_ GROUP BY sample, node)
+SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY w)::INT AS pos, node FROM first""")
 def bridging_sample(spark, d):
     e = kg.edges(relations(spark, d, False))
     return kg.bridging_sample(e, kg.degree(e), 6, 2, 3, "bridge")
