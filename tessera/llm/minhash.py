@@ -9,9 +9,8 @@
    similarity 0.75 miss all BANDS bands with probability 5e-6.
 4. Classes that share a band are in one bucket. First, each class is paired with
    the smallest id among its buckets. A bucket that is all in one component then
-   has no link to add. In the others, the smallest id is paired with every class
-   outside its component, and in buckets up to SMALL all classes of different
-   components are paired.
+   has no link to add. In the others up to SMALL, all classes of different
+   components are compared.
 5. A pair goes on if its collision-corrected Jaccard estimate is not more than
    SIGMAS deviations below the threshold, and is then confirmed by intersection
    of the full sets, each class's best pair first; pairs whose ends have come to
@@ -50,7 +49,9 @@ ROWS = 4
 BANDS = REGISTERS // ROWS
 SMALL = 16
 SIGMAS = 5.2
-BLOCK = 256
+BLOCK = 1024
+#: Classes on a side of a cell in which pairs are confirmed.
+FAMILY = 64
 #: Up to so many ids go to all executors (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
 MEMO_WORDS = 400_000
@@ -182,16 +183,31 @@ def named(large: DataFrame, labels: DataFrame | None) -> DataFrame:
     return own.withColumn("component", F.coalesce("component", "node")).withColumn("head", F.coalesce("head", "low"))
 
 
-def further_pairs(open_: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, between components: the smallest id of a bucket
-    with every class outside its component, and in buckets up to SMALL all
-    pairs. open_: members of buckets in several components."""
-    star = open_.filter("component <> head").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    few = open_.filter(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set(F.struct("node", "component"))).alias("all"))
-    one = few.select(F.posexplode("all").alias("at", "x"), "all")
-    rest = F.filter(F.slice("all", F.col("at") + 2, F.size("all")), lambda y: y["component"] != F.col("x.component"))
-    pairs = one.select(F.col("x.node").alias("a"), F.explode(rest).alias("y")).select("a", F.col("y.node").alias("b"))
-    return star.unionByName(pairs).distinct()
+def in_buckets(open_: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, likely): pairs of different components in buckets up to SMALL that
+    may reach the threshold. Sketches go to the buckets, many of which share a
+    task's group, and only pairs that pass come out."""
+    rows = open_.filter(F.col("n") <= SMALL).select("bucket", "node", "component")
+    groups = max(1, rows.count() // 4096)
+    rows = rows.join(classes.select("node", "sketch", "n_shingles"), "node").withColumn("deal", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("bucket", "ascending"), ("node", "ascending")])
+        bucket, node, component = (t.column(k).to_numpy() for k in ("bucket", "node", "component"))
+        n = t.column("n_shingles").to_numpy().astype(np.float64)
+        s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        a, b, likely = [], [], []
+        for far in range(1, SMALL):
+            x = np.flatnonzero((bucket[:-far] == bucket[far:]) & (component[:-far] != component[far:]))
+            if len(x):
+                jaccard, fine = estimate(s[x], s[x + far], n[x], n[x + far])
+                a.append(node[x][fine])
+                b.append(node[x + far][fine])
+                likely.append(jaccard[fine])
+        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
+        return pa.table({"a": join(a, pa.int64()), "b": join(b, pa.int64()), "likely": join(likely, pa.float64())})
+
+    return rows.groupBy("deal").applyInArrow(compare, "a bigint, b bigint, likely double").distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -214,28 +230,34 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) whose full sets reach the threshold. Pairs are dealt over salts
-    of a, so that a hub's set goes to several tasks, each with a share of its
-    pairs."""
-    degree = pairs.groupBy("a").agg(F.count("*").alias("degree")).withColumn("salts", F.ceil(F.col("degree") / 64).cast("int"))
-    salted = pairs.select("a", "b").join(degree.filter("salts > 1").select("a", "salts"), "a", "left")
-    salted = salted.select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
-    left = sets.join(degree.select(F.col("a").alias("node"), "salts"), "node").select(F.col("node").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("hashes").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b"))
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fine = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                fine.append(100 * common >= 75 * (len(x) + len(y) - common))
-            keep = pa.array(fine, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("a", "b")], names=["a", "b"])
-
-    return salted.join(right, "b").join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    """The (a, b) whose full sets reach the threshold. Pairs of one family (the
+    smallest a that a b is paired with) are dealt to cells of FAMILY by FAMILY
+    classes, and a cell gets each set once, however many pairs it is in; a hub's
+    pairs are spread over as many cells as they need."""
+    low = pairs.groupBy("b").agg(F.min("a").alias("family"))
+    size = low.groupBy("family").agg(F.ceil(F.count("*") / FAMILY).cast("int").alias("blocks"))
+    told = pairs.select("a", "b").join(low, "b").join(size, "family")
+    cells = max(1, pairs.count() // FAMILY)
+    block = lambda c: F.pmod(F.xxhash64(c), F.col("blocks"))
+    dealt = told.select("a", "b", F.pmod(F.xxhash64("family", block("a"), block("b")), F.lit(cells)).alias("cell"))
+    need = dealt.select("cell", F.col("a").alias("node")).union(dealt.select("cell", "b")).distinct()
+    shipped = need.select(F.col("cell").alias("place"), F.col("node").alias("node")).join(sets, "node")
+
+    def check(two: pa.Table, them: pa.Table) -> pa.Table:
+        held: dict[int, list] = {}  # rows of one id may have several sets
+        for node, x in zip(them.column("node").to_pylist(), them.column("hashes").to_pylist(), strict=True):
+            held.setdefault(node, []).append(np.frombuffer(x, np.uint64))
+        fine = []
+        for a, b in zip(two.column("a").to_pylist(), two.column("b").to_pylist(), strict=True):
+            best = False
+            for x in held.get(a, ()):
+                for y in held.get(b, ()):
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    best = best or 100 * common >= 75 * (len(x) + len(y) - common)
+            fine.append(best)
+        return two.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
+
+    return dealt.groupBy("cell").cogroup(shipped.groupBy("place")).applyInArrow(check, "a bigint, b bigint")
 
 
 def full_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -357,7 +379,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_ = told.join(told.filter("component <> head").select("bucket").distinct(), "bucket", "left_semi")
     open_, open_path = scratch.write(open_)
     scratch.drop(large_path)
-    tried = scratch.keep(estimated(further_pairs(open_).join(first.select("a", "b"), ["a", "b"], "left_anti"), classes))
+    tried = scratch.keep(in_buckets(open_, classes).join(first.select("a", "b"), ["a", "b"], "left_anti"))
     links.settle(tried)
     hot = open_.filter(F.col("n") > SMALL).select("bucket", "node", "n", "low")
     if not hot.isEmpty():
