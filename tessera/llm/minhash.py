@@ -17,8 +17,13 @@
    one component need no confirming.
 6. Buckets over SMALL whose classes are still in several components are not
    capped: classes outside the smallest id's component are compared, by
-   sketches, with all of the bucket in square blocks, and what passes the
-   estimate is confirmed too.
+   sketches, with all of the bucket in square blocks. What passes is compared
+   again there by the smallest SAMPLE hashes of both sets, which for sets up to
+   SAMPLE is all of them. A block gives all pairs that pass, unless they are
+   more than FEW for each of its classes. Then it gives each class's best partner
+   and is compared again once those have joined components, so a group is joined
+   without naming its pairs; when a round joins nothing, every pair that passes
+   is given, so none is left out.
 
 Sketches, bands, pairs and links stay in tables; only counts reach the driver.
 
@@ -50,6 +55,9 @@ BANDS = REGISTERS // ROWS
 SMALL = 16
 SIGMAS = 5.2
 BLOCK = 1024
+#: Hashes of a set, 4 bytes each, that large buckets get beside the sketch.
+SAMPLE = 256
+FEW = 4
 #: Classes on a side of a cell in which pairs are confirmed.
 FAMILY = 64
 #: Up to so many ids go to all executors (8 bytes each); more are joined by a shuffle.
@@ -124,13 +132,54 @@ def collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of paired sketches (along the last axis), and whether
-    each may still reach the threshold. Sizes differing too far can't."""
+    each may still reach the threshold. Sizes differing too far can't. Filled
+    registers draw from the union without replacement, so the deviation shrinks
+    as they come to hold all of it; one register more is left for rounding."""
     both = ((x | y) > 0).sum(-1)
     equal = ((x == y) & (x > 0)).sum(-1)
     jaccard = np.clip((equal - collisions(n, m)) / np.maximum(1, both), 0, 1)
-    slack = SIGMAS * np.sqrt(THRESHOLD * (1 - THRESHOLD) / np.maximum(1, both))
     fits = 100 * np.minimum(n, m) >= 75 * np.maximum(n, m)
-    return jaccard, fits & (jaccard >= THRESHOLD - slack)
+    return jaccard, fits & (jaccard >= THRESHOLD - slack(both, n, m))
+
+
+def slack(seen: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """How far below the threshold a share among ``seen`` elements of the union
+    of sets of sizes n and m may be."""
+    union = np.maximum((n + m) / (1 + THRESHOLD), seen)
+    missing = (union - seen) / np.maximum(1, union - 1)
+    return (SIGMAS * np.sqrt(THRESHOLD * (1 - THRESHOLD) * seen * missing) + 1) / np.maximum(1, seen)
+
+
+def sample(hashes: np.ndarray) -> bytes:
+    """The upper halves of the smallest SAMPLE hashes of a sorted set."""
+    return (hashes[:SAMPLE] >> np.uint64(32)).astype(np.uint32).tobytes()
+
+
+class Samples:
+    """Samples of a block's classes; n: the sizes of their sets."""
+
+    def __init__(self, packed: list[bytes], n: np.ndarray):
+        self.n, self.flat = n, np.frombuffer(b"".join(packed), np.uint32)
+        self.size = np.array([len(p) // 4 for p in packed])
+        self.start = np.cumsum(self.size) - self.size
+        last = self.flat[self.start + self.size - 1]
+        #: Up to this hash a sample is complete.
+        self.reach = np.where(self.size < SAMPLE, np.uint32(0xFFFFFFFF), last)
+
+    def compare(self, x: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Jaccard of class x and each of the others, among the hashes for which
+        both samples are complete; whether it may still reach the threshold."""
+        size = self.size[others]
+        whose = np.repeat(np.arange(len(others)), size)
+        theirs = self.flat[np.arange(size.sum()) + np.repeat(self.start[others] - (np.cumsum(size) - size), size)]
+        own = self.flat[self.start[x] : self.start[x] + self.size[x]]
+        reach = np.minimum(self.reach[x], self.reach[others])
+        inside = theirs <= reach[whose]
+        shared = inside & (own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs)
+        both = np.bincount(whose[shared], minlength=len(others))
+        either = np.searchsorted(own, reach, "right") + np.bincount(whose[inside], minlength=len(others)) - both
+        jaccard = both / np.maximum(1, either)
+        return jaccard, jaccard >= THRESHOLD - slack(either, self.n[x], self.n[others])
 
 
 def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,19 +309,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.groupBy("cell").cogroup(shipped.groupBy("place")).applyInArrow(check, "a bigint, b bigint")
 
 
-def full_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, hashes) of the classes among ``ids`` (node), from the texts."""
+def full_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, pack=np.ndarray.tobytes) -> DataFrame:
+    """(node, hashes) of the classes among ``ids`` (node), from the texts; pack
+    makes bytes of a set."""
     texts = df.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     few = ids.count() <= BROADCAST_IDS
     texts = texts.join(F.broadcast(ids) if few else ids, "node", "left_semi")
-    made = map_batches(texts, lambda rows: {"node": rows["node"], "hashes": [shingles(t).tobytes() for t in rows["text"]]}, "node bigint, hashes binary")
+    made = map_batches(texts, lambda rows: {"node": rows["node"], "hashes": [pack(shingles(t)) for t in rows["text"]]}, "node bigint, hashes binary")
     return made.filter(F.length("hashes") > 0)
 
 
-def in_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+def in_blocks(members: DataFrame, profiles: DataFrame, everything: bool) -> DataFrame:
     """(a, b, likely): pairs of large buckets that the smallest id has not joined.
-    members: (bucket, node, component, head). Every class outside the component
-    of the bucket's smallest id meets all of the bucket."""
+    members: (bucket, node, component, head); profiles: (node, sketch,
+    n_shingles, hashes), hashes being the sample. Every class outside the
+    component of the bucket's smallest id meets all of the bucket. A row of nulls
+    says that a block held pairs back; with ``everything``, none does."""
     named = members
     outside = F.col("component") != F.col("head")
     counts = named.groupBy("bucket").agg(F.sum(outside.cast("long")).alias("outside")).filter("outside > 0").withColumn("blocks", F.ceil(F.col("outside") / BLOCK).cast("int"))
@@ -289,26 +341,35 @@ def in_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     )
     cells_in = F.transform(every, lambda i: F.struct(F.lit("m").alias("kind"), i.alias("i"), F.col("mine").alias("j")))
     dealt = placed.withColumn("cell", F.explode(F.when(F.col("out"), cells_out).otherwise(cells_in)))
-    rows = dealt.join(classes.select("node", "sketch", "n_shingles"), "node").select("bucket", "cell.kind", "cell.i", "cell.j", "node", "component", "out", "mine", "sketch", "n_shingles")
+    rows = dealt.join(profiles, "node").select("bucket", "cell.kind", "cell.i", "cell.j", "node", "component", "out", "mine", "sketch", "n_shingles", "hashes")
 
     def compare(table: pa.Table) -> pa.Table:
         node, component, mine, out = (table.column(k).to_numpy() for k in ("node", "component", "mine", "out"))
         n = table.column("n_shingles").to_numpy().astype(np.float64)
         s = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        finer = Samples(table.column("hashes").to_pylist(), n)
         kind, i = table.column("kind")[0].as_py(), table.column("i")[0].as_py()
         left = np.flatnonzero(out & (mine == i)) if kind == "o" else np.flatnonzero(out)
         right = np.arange(len(node)) if kind == "o" else np.flatnonzero(~out)
-        a, b, likely = [], [], []
+        given = []
         for x in left:
-            jaccard, fine = estimate(s[x], s[right], n[x], n[right])
-            for k in np.flatnonzero(fine & (component[right] != component[x])):
-                y = right[k]
-                a.append(min(node[x], node[y]))
-                b.append(max(node[x], node[y]))
-                likely.append(jaccard[k])
+            y = right[component[right] != component[x]]
+            y = y[estimate(s[x], s[y], n[x], n[y])[1]]
+            jaccard, fine = finer.compare(x, y)
+            given.append((x, y[fine], jaccard[fine]))
+        held_back = not everything and sum(len(y) for _, y, _ in given) > FEW * len(node)
+        a, b, likely = ([None], [None], [None]) if held_back else ([], [], [])
+        for x, y, jaccard in given:
+            if held_back and len(y):
+                top = np.lexsort((node[y], -jaccard))[:1]
+                y, jaccard = y[top], jaccard[top]
+            a.extend(np.minimum(node[x], node[y]).tolist())
+            b.extend(np.maximum(node[x], node[y]).tolist())
+            likely.extend(jaccard.tolist())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "likely": pa.array(likely, pa.float64())})
 
-    return rows.groupBy("bucket", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint, likely double").distinct()
+    found = rows.groupBy("bucket", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint, likely double")
+    return found.groupBy("a", "b").agg(F.max("likely").alias("likely"))
 
 
 class Links:
@@ -320,10 +381,13 @@ class Links:
         self.labels: DataFrame | None = None
         self.sets: DataFrame | None = None
 
-    def add(self, links: DataFrame) -> None:
-        if not links.isEmpty():
-            self.links = links if self.links is None else self.scratch.keep(self.links.unionByName(links))
-            self.labels = components(self.links, self.scratch)
+    def add(self, links: DataFrame) -> bool:
+        """Whether there were any."""
+        if links.isEmpty():
+            return False
+        self.links = links if self.links is None else self.scratch.keep(self.links.unionByName(links))
+        self.labels = components(self.links, self.scratch)
+        return True
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose ends are in two components."""
@@ -332,26 +396,26 @@ class Links:
         ends = pairs.join(self.labels.toDF("a", "ca"), "a", "left").join(self.labels.toDF("b", "cb"), "b", "left")
         return ends.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(pairs.columns)
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Hold all pairs (a, b, likely) against the full sets."""
+    def confirm(self, pairs: DataFrame) -> bool:
+        """Hold all pairs (a, b, likely) against the full sets; whether any are links."""
         ids = self.scratch.keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         if self.sets is not None:
             ids = self.scratch.keep(ids.join(self.sets.select("node"), "node", "left_anti"))
         if not ids.isEmpty():
             more = self.scratch.keep(full_sets(self.df, ids, self.id_col, self.text_col))
             self.sets = more if self.sets is None else self.sets.unionByName(more)
-        self.add(self.scratch.keep(confirmed(pairs, self.sets)))
+        return self.add(self.scratch.keep(confirmed(pairs, self.sets)))
 
-    def settle(self, pairs: DataFrame) -> None:
-        """Confirm each class's best pair, then those that are still apart."""
+    def settle(self, pairs: DataFrame) -> bool:
+        """Confirm each class's best pair, then those that are still apart;
+        whether any are links."""
         if pairs.isEmpty():
-            return
+            return False
         top = pairs.groupBy("b").agg(F.max(F.struct("likely", F.negative("a").alias("minus"))).alias("top"))
         best = self.scratch.keep(top.select(F.negative("top.minus").alias("a"), "b", "top.likely"))
-        self.confirm(best)
+        joined = self.confirm(best)
         left = self.scratch.keep(self.apart(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")))
-        if not left.isEmpty():
-            self.confirm(left)
+        return joined if left.isEmpty() else self.confirm(left) or joined
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -382,9 +446,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tried = scratch.keep(in_buckets(open_, classes).join(first.select("a", "b"), ["a", "b"], "left_anti"))
     links.settle(tried)
     hot = open_.filter(F.col("n") > SMALL).select("bucket", "node", "n", "low")
+    tried, everything = first.unionByName(tried).select("a", "b"), False
     if not hot.isEmpty():
-        rest = in_blocks(named(hot, links.labels), classes).join(first.unionByName(tried).select("a", "b"), ["a", "b"], "left_anti")
-        links.settle(scratch.keep(rest))
+        ids = scratch.keep(hot.select("node").distinct())
+        profiles = scratch.keep(full_sets(df, ids, id_col, text_col, sample).join(classes.select("node", "sketch", "n_shingles"), "node"))
+    while not (members := scratch.keep(named(hot, links.labels))).filter("component <> head").isEmpty():
+        found = scratch.keep(in_blocks(members, profiles, everything))
+        rest = scratch.keep(found.filter("a is not null").join(tried, ["a", "b"], "left_anti"))
+        joined = links.settle(rest)
+        if found.filter("a is null").isEmpty():
+            break
+        tried = tried.unionByName(rest.select("a", "b"))
+        everything = not joined
     scratch.drop(open_path)
     labels = links.labels
     out = made.select("doc_id", "n_shingles", "class").join(classes.select("class", "node"), "class", "left")
