@@ -17,7 +17,9 @@ def stamped(df: DataFrame, ts: str = "ts", late: str = "1 day") -> DataFrame:
 
 def window_latency(df: DataFrame, size: str = "1 day", ts: str = "ts", tool: str = "event_type", value: str = "value") -> DataFrame:
     grouped = stamped(df, ts).groupBy(F.window(ts, size).alias("w"), F.col(tool).alias("tool"))
-    made = grouped.agg(F.count("*").alias("n"), F.round(F.avg(value), 4).alias("mean_value"), F.max(value).alias("max_value"))
+    # round(x, 4) rounds the shortest decimal form of x, which may lie on a tie that x itself is below.
+    mean = F.round(F.avg(value) * 10_000) / 10_000
+    made = grouped.agg(F.count("*").alias("n"), mean.alias("mean_value"), F.max(value).alias("max_value"))
     return made.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "tool", "n", "mean_value", "max_value")
 
 
