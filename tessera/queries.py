@@ -775,7 +775,7 @@ def fact_atomiser(spark, d):
 
 @query()
 def frontier_expansion(spark, d):
-    docs = t(spark, d, "documents").select(F.lower(F.regexp_extract("text", r"\w+", 0)).alias("topic"), F.substring("text", 1, 2000).alias("text"))
+    docs = t(spark, d, "documents").select(F.lower(F.regexp_extract("text", r"\w+", 0)).alias("topic"), "text")
     return tracks.build_rounds(docs, values(spark, "('Anat'), ('The'), ('Thnt')", "seed"), 3, 40)[1]
 
 

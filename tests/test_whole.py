@@ -1,0 +1,9 @@
+"""Queries read whole inputs."""
+
+from tessera import queries as own
+
+
+def test_frontier_reads_past_the_start_of_a_text(spark, tmp_path):
+    text = "Anat " + "x" * 3000 + " Zebra ends it."
+    spark.createDataFrame([(text,)], "text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert ("zebra", "Anat") in {tuple(r) for r in own.frontier_expansion(spark, str(tmp_path)).select("topic", "lineage").collect()}
