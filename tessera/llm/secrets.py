@@ -40,7 +40,7 @@ ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']? *[:=] *["
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}+")
 ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/%+-]*)?|(?<![A-Za-z0-9.@-])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}(?![0-9])")
-LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+LONG = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])")
 BREAK = re.compile(r"\n[ \t]*\n")
 
 
