@@ -5,12 +5,12 @@ follow fixed patterns and are always reported. Weak candidates are endpoints
 (a URL, or a host with a port) and random-looking strings of 32 characters or
 more that no base span covers; alone they mean little. Every candidate is an
 interval widened by SCOPE characters but never past an empty line, so a scope
-is a stretch of one paragraph. Identifiers (access), secrets (assign, hex,
-random strings) and endpoints whose scopes meet are linked by one sweep over
-the sorted intervals: each identifier to its nearest secret, each endpoint to
-its nearest identifier or named secret. A weak candidate is reported only as
-part of such a link: a random string as ``paired`` beside an identifier, an
-endpoint beside an identifier or an assigned secret. Ties go to the earlier.
+is a stretch of one paragraph. An interval join over the sorted candidates links
+every two complementary ones of which one lies in the other's scope: identifiers
+(access) with secrets (assign, hex, random strings) and endpoints, assigned
+secrets with random strings and endpoints. A weak candidate is reported only as
+part of such a link, a random string as ``paired``; two weak ones don't make
+each other a credential.
 
 Nulls count as empty texts. Spans of one kind don't overlap; offsets are code
 points, ends exclusive. Repeated rows are scanned row by row; other columns of
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -61,20 +61,15 @@ def base(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def nearest(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]], scope_of) -> list[tuple[int, int]]:
-    """Interval join: for each of ``spans`` the nearest of ``others`` that shares
-    its scope, as pairs of indexes. Both are sorted by start."""
-    starts, pairs = [x[0] for x in others], []
-    for i, (a, _, b) in enumerate(spans):
-        low, high = scope_of(a, b)
-        k, best = bisect_left(starts, a), None
-        for j in (k - 1, k):  # spans of one side don't nest, so the nearest is a neighbour
-            if 0 <= j < len(others) and others[j][2] > low and others[j][0] < high:
-                gap = max(0, a - others[j][2], others[j][0] - b)
-                if best is None or gap < best[0]:
-                    best = gap, j
-        if best is not None:
-            pairs.append((i, best[1]))
+def meeting(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]], scope_of) -> list[tuple[tuple, tuple]]:
+    """Interval join: all pairs of one of ``spans`` and one of ``others`` in its
+    scope. Both are sorted and of one kind each, so they don't overlap and their
+    ends are sorted too. A scope holds a bounded number of spans."""
+    starts, ends = [x[0] for x in others], [x[2] for x in others]
+    pairs = []
+    for x in spans:
+        low, high = scope_of(x[0], x[2])
+        pairs += [(x, y) for y in others[bisect_right(ends, low) : bisect_left(starts, high)]]
     return pairs
 
 
@@ -92,8 +87,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[tuple, tuple
     found = base(text)
     if not found:
         return [], []  # a weak candidate needs a base span beside it
-    ids = [x for x in found if x[1] == 1]
-    named = apart([x for x in found if x[1] == 0])
+    named, ids, digits = ([x for x in found if x[1] == k] for k in range(3))
     cuts = [m.start() for m in BREAK.finditer(text)]
 
     def scope_of(a, b):
@@ -101,25 +95,18 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[tuple, tuple
         return max(a - SCOPE, cuts[k - 1] if k else 0), min(b + SCOPE, cuts[j] if (j := bisect_left(cuts, b)) < len(cuts) else len(text))
 
     covered = apart(found)
-    links, extra = [], []
 
     def is_free(a, b):
         k = bisect_left(covered, (b,))
         return k == 0 or covered[k - 1][2] <= a
 
-    if ids:
+    links = meeting(ids, named, scope_of) + meeting(ids, digits, scope_of)
+    if ids or named:
         weak = [(m.start(), 4, m.end()) for m in LONG.finditer(text) if is_free(m.start(), m.end()) and bits(m[0]) >= RANDOM_BITS]
-        secrets = apart([x for x in found if x[1] != 1] + weak)
-        for i, j in nearest(ids, secrets, scope_of):
-            links.append((ids[i], secrets[j]))
-            if secrets[j][1] == 4:
-                extra.append(secrets[j])
-    if anchors := apart(ids + named):
         ends = [(m.start(), 3, m.end()) for m in ENDPOINT.finditer(text) if is_free(m.start(), m.end())]
-        for i, j in nearest(ends, anchors, scope_of):
-            links.append((anchors[j], ends[i]))
-            extra.append(ends[i])
-    return sorted({*found, *extra}), links
+        for side in (ids, named):
+            links += meeting(side, weak, scope_of) + meeting(side, ends, scope_of)
+    return sorted({*found, *(y for _, y in links)}), sorted(links)
 
 
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,3 +21,27 @@ def test_random_strings_after_equals_signs_and_of_any_length():
     assert reported(text, "paired") == [session] and session not in secrets.masked(text)
     assert reported(f"id {KEY} {'A_LONG_VARIABLE_NAME_OF_MORE_THAN_32'}=x", "paired") == []
     assert secrets.scan("=".join(["a" * 50_000] * 4))[0] == [(0, 2, 50_000), (50_001, 2, 100_001), (100_002, 2, 150_002), (150_003, 2, 200_003)]
+
+
+def test_every_complementary_pair_is_linked():
+    commit = "0123456789abcdef0123456789abcdef01234567"
+    for between in (commit, "token = abcdefghijkl", "ZyXwVuTsRqPoNmLkJiHgFeDcBa9876543210+/QQ"):
+        assert SECRET in reported(f"id {KEY} {between} {SECRET}", "paired")
+    assert reported(f"api_key: abcdefghijklmnop\n{SECRET}", "paired") == [SECRET]
+    parts = [KEY, SECRET, commit, "token = abcdefghijkl", "https://db.example.com:5432/x", "\n\n", "word " * 30, "word " * 9, "k=" + SECRET[::-1]]
+    partners = {(1, 0), (1, 2), (1, 4), (1, 3), (0, 4), (0, 3)}
+    for k in range(200):
+        text = " ".join(random.Random(k).choices(parts, k=14))
+        found = secrets.base(text)
+        weak = [(m.start(), kind, m.end()) for kind, p in ((3, secrets.ENDPOINT), (4, secrets.LONG)) for m in p.finditer(text)]
+        spans = found + [x for x in weak if not any(x[0] < b and a < x[2] for a, _, b in found) and (x[1] == 3 or secrets.bits(text[x[0] : x[2]]) >= secrets.RANDOM_BITS)]
+
+        def near(x, y):
+            first, last = sorted((x, y))
+            between = text[first[2] : last[0]]
+            return len(between) < secrets.SCOPE and "\n\n" not in between
+
+        want = sorted((x, y) for x in spans for y in spans if (x[1], y[1]) in partners and near(x, y))
+        got, links = secrets.scan(text)
+        assert links == want
+        assert got == sorted({*found, *(y for _, y in want)})
