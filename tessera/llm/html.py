@@ -34,6 +34,8 @@ ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'
 NAME = re.compile(r"[a-z]+")
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style title noscript template textarea svg math object iframe select".split())
+#: Of these, the ones whose content is no markup: it goes up to the literal end tag.
+RAW = {x: re.compile(rf"</{x}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for x in "script style title noscript textarea iframe".split()}
 VOID = frozenset("area base col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 #: A start tag ends these open elements, as far as no boundary is between.
@@ -71,13 +73,17 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             parts.clear()
         linked = 0
 
-    for m in TAG.finditer(page):
+    while m := TAG.search(page, past):
         if m.start() > past and not silent:
             parts.append(page[past : m.start()])
             if link:
                 linked += m.start() - past
         past = m.end()
         name = (m[2] or "").lower()
+        if name in RAW and not m[1] and not m[3].endswith("/"):
+            end = RAW[name].search(page, past)
+            past = end.end() if end else len(page)
+            continue
         if silent:
             if m[1] and name == silent:
                 silent = ""
