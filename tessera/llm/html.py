@@ -42,7 +42,6 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BOUNDARY = frozenset("table ul ol dl article section main aside nav header footer div body form blockquote".split())
 
-MAX_FEATURES = 24
 SPACE = 1 << 14
 #: Wording of blocks that tell readers about the site rather than the subject.
 NOTICES = re.compile(r"cookie|subscri|sign in|log ?in|newsletter|advert|sponsor|privacy|copyright|©|all rights|share this|related|comment", re.I)
@@ -150,7 +149,7 @@ class Model:
         if got is None:
             if len(self.known) > 50_000:
                 self.known.clear()
-            numbers = [number(x) for x in [*key[1:], *key[0]]][:MAX_FEATURES]
+            numbers = [number(x) for x in [*key[1:], *key[0]]]
             got = self.known[key] = tuple(self.chain.weights[numbers].sum(0).tolist())
         return got
 
@@ -277,19 +276,19 @@ def model() -> Model:
     if not _model:
         features, labels, mask = [], [], []
         for page, marks in labelled_pages(PAGES):
-            found = blocks(page)
+            found = [[number(x) for x in [*text_features(b[1], b[2]), *b[0]]] for b in blocks(page)]
             if len(found) != len(marks):
                 raise AssertionError("a labelled page and its blocks disagree")
             for i in range(0, len(found), LENGTH):
-                rows = np.zeros((LENGTH, MAX_FEATURES), np.int64)
-                for k, b in enumerate(found[i : i + LENGTH]):
-                    numbers = [number(x) for x in [*text_features(b[1], b[2]), *b[0]]][:MAX_FEATURES]
-                    rows[k, : len(numbers)] = numbers
+                features.append(found[i : i + LENGTH])
                 some = marks[i : i + LENGTH]
-                features.append(rows)
                 labels.append(np.pad(np.array(some), (0, LENGTH - len(some))))
                 mask.append(np.arange(LENGTH) < len(some))
-        chain = LinearChain(SPACE, 2).fit(np.array(features), np.array(labels), np.array(mask), EPOCHS, batch=128)
+        padded = np.zeros((len(features), LENGTH, max(len(b) for x in features for b in x)), np.int64)
+        for rows, x in zip(padded, features, strict=True):
+            for row, numbers in zip(rows, x, strict=False):
+                row[: len(numbers)] = numbers
+        chain = LinearChain(SPACE, 2).fit(padded, np.array(labels), np.array(mask), EPOCHS, batch=128)
         _model.append(Model(chain))
     return _model[0]
 

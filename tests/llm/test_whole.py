@@ -55,3 +55,11 @@ def test_raw_text_is_no_markup():
         assert html.model().article(raw + article) == want
     assert html.blocks("<script>a<b " + article) == []
     assert [b[1] for b in html.blocks("<p>a</p><script>" * 20_000)] == ["a"]
+
+
+def test_all_ancestors_count():
+    classes = "post-template-default single single-post postid-4821 single-format-standard wp-custom-logo wp-embed-responsive theme-astra group-blog ast-desktop ast-separate-container ast-right-sidebar elementor-default elementor-kit-12 no-customize-support"
+    deep = "".join(f'<div class="col-{w} grid wrap-{w}" id="x{w}">' for w in "alpha beta gamma delta epsilon zeta eta theta".split())
+    rest = '<nav><ul><li><a href="/">Home</a></li></ul></nav><article><h1>The river</h1><p>It rose in the night and fell by noon.</p></article><section id="comments"><article class="comment"><p>It was the same here, at our house.</p></article></section><footer><p>Made by us.</p></footer>'
+    for start in (f'<body class="{classes}">', f"<body>{deep}"):
+        assert html.model().article(start + rest) == ["The river", "It rose in the night and fell by noon."]
