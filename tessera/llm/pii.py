@@ -33,6 +33,8 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Characters of an iban by country.
+LENGTHS = {c: n for n, cs in {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC"}.items() for c in cs.split()}
 PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.6, "phone": 0.6, "iban": 0.8}
 FOR = {
     "email": re.compile(r"e-?mail|contact|address|write to", re.I),
@@ -76,6 +78,21 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost, non-overlapping. A pattern may run into the words behind, so its
+    ends at spaces are tried too: the one of the country's length first, then from
+    the longest. What holds no iban is searched again behind its first letters."""
+    out, m = [], IBAN.search(text)
+    while m:
+        ends = [m.end(), *(m.start() + k for k in range(len(m[0]) - 1, 0, -1) if m[0][k] == " ")]
+        ends.sort(key=lambda b: len(text[m.start() : b].replace(" ", "")) != LENGTHS.get(m[0][:2]))
+        end = next((b for b in ends if 15 <= len(x := text[m.start() : b].replace(" ", "")) <= 34 and mod97(x)), None)
+        if end is not None:
+            out.append((m.start(), end))
+        m = IBAN.search(text, m.start() + 2 if end is None else end)
+    return out
+
+
 def propose(text: str) -> list[tuple[int, int, int]]:
     """(start, index of kind, end) of all confirmed spans, sorted."""
     out = [(a, 0, b) for a, b in emails(text)]
@@ -87,7 +104,7 @@ def propose(text: str) -> list[tuple[int, int, int]]:
                 out.append((m.start(), 2, m.end()))
     if "+" in text:
         out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= sum(map(str.isdigit, m[0])) <= 15]
-    out += [(m.start(), 4, m.end()) for m in IBAN.finditer(text) if 15 <= len(x := m[0].replace(" ", "")) <= 34 and mod97(x)]
+    out += [(a, 4, b) for a, b in ibans(text)]
     return sorted(out)
 
 
