@@ -244,7 +244,7 @@ def kg_modularity(spark, d):
 
 @query()
 def kg_communities(spark, d):
-    return kg.communities(kg.edges(relations(spark, d, False)))
+    return kg.communities(kg.edges(relations(spark, d)))
 
 
 @query(f"""WITH {GEO}, {BOTH}, sub AS (SELECT 'nation:' || n_nationkey AS node FROM nation WHERE n_nationkey < 3),
@@ -781,7 +781,7 @@ def frontier_expansion(spark, d):
 
 @query()
 def graph_track(spark, d):
-    return tracks.graph_track(entities(spark, d).filter("entity_type <> 'part'"), relations(spark, d, False), 20, "track", 0.4)
+    return tracks.graph_track(entities(spark, d), relations(spark, d), 20, "track", 0.4)
 
 
 @query("SELECT strftime(ts::DATE, '%Y-%m-%d 00:00:00') AS window_start, event_type AS tool, count(*)::BIGINT AS n, round(avg(value), 4) AS mean_value, max(value) AS max_value FROM events GROUP BY 1, 2")
