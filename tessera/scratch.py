@@ -16,10 +16,16 @@ _shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary one only where it is unset."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """spark.checkpoint.dir of the session, or the folder given to setCheckpointDir.
+    Where neither is set, a temporary one if all executors are on this machine, as
+    in tests; on a cluster that would lose data, so it is an error."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and (given := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
+        named = given.get()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="tessera-scratch-")
@@ -57,6 +63,10 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         return self.write(df)[0]
 
+    def close(self) -> None:
+        """Drop all its tables, once nothing that is still to run reads them."""
+        self.drop(self.base)
+
     def drop(self, path: str) -> None:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
