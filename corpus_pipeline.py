@@ -58,7 +58,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    scratch = Scratch(spark, "pipeline")
+    scratch, before = Scratch(spark, "pipeline"), None
     for _, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir))
+        docs, path = scratch.write(stage(spark, docs, sf_dir))
+        if before:
+            scratch.drop(before)
+        before = path
     return docs
