@@ -11,7 +11,8 @@ The cost of a pre-token is thus near linear in its length, however long it is.
 Short pre-tokens, which are many, share one list and one queue per batch.
 
 Nulls count as empty texts; an empty text has no ids. Repeated rows and ids
-are encoded row by row; other columns of the input are ignored.
+are encoded row by row, texts whole however long; an empty table gives no rows;
+other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,15 +26,18 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from .common import map_batches
+from .common import held, map_batches, replace_batches
 
 #: Bound on a rank file, which every executor gets.
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Bounds on what a worker remembers about text it has met.
-MEMO_PIECES, MEMO_CHARS = 400_000, 64
+#: Bounds on the pre-tokens that a worker remembers: entries of each of two memos
+#: (about 200 bytes each), before those of the slice at hand, and characters of one.
+MEMO_PIECES, MEMO_CHARS = 100_000, 64
+SLICE_CHARS = 1 << 20
 #: Pre-tokens beyond this go through a queue of their own.
-LONG_BYTES = 256
+LONG_BYTES = 16
 WORD = 64
 
 
@@ -244,87 +248,69 @@ class Encoder:
         self.batch = Batch(self.ranks)
         self.find = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
-        """Put the ids of pre-tokens into ``pieces``."""
+        """Put the ids of pre-tokens into ``pieces``; known ones come from ``older``."""
+        here = self.pieces
+        again = pieces & self.older.keys()
+        here.update(zip(again, map(self.older.__getitem__, again), strict=True))
         short = []
-        for text in pieces:
+        for text in pieces - again:
             data = text.encode()
             whole = self.ranks.get(data)
             if whole is not None:
-                self.pieces[text] = struct.pack("<I", whole)
+                here[text] = struct.pack("<I", whole)
             elif len(data) > LONG_BYTES:
                 ids = merge(data, self.ranks, self.queue)
-                self.pieces[text] = struct.pack(f"<{len(ids)}I", *ids)
+                here[text] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 short.append(text)
         if short:
-            self.pieces.update(zip(short, self.batch.merge([x.encode() for x in short]), strict=True))
+            here.update(zip(short, self.batch.merge([x.encode() for x in short]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit integers.
-
-        A space between two characters that aren't white space always starts a
-        match, so a text may be cut at such spaces, and most of what stands
-        between them (a chunk) has been met before. A text with white space
-        beside a space goes through the pattern whole."""
-        for memo in (self.pieces, self.chunks):
-            if len(memo) > MEMO_PIECES:
-                memo.clear()
-        plans: list[tuple[list[str], list[str]]] = []  # pre-tokens, then chunks
-        fresh: dict[str, list[str]] = {}
-        need: set[str] = set()
-        for text in texts:
-            head, tail = [], []
-            if "  " not in text:
-                head, *tail = text.split(" ")
-                new = set(tail).difference(self.chunks).difference(fresh)
-                if tail and (not head or head[-1].isspace() or any(not x or x[0].isspace() or x[-1].isspace() for x in new)):
-                    head, tail = text, []
-                else:
-                    for x in new:
-                        fresh[x] = found = self.find(" " + x)
-                        need.update(found)
-            else:
-                head = text
-            found = self.find(head)
-            need.update(found)
-            plans.append((found, tail))
-        need.difference_update(self.pieces)
-        self.learn(need)
-        piece, chunk = self.pieces.__getitem__, self.chunks.__getitem__
-        for x, found in fresh.items():
-            self.chunks[x] = b"".join(map(piece, found))
-        out = [b"".join([*map(piece, found), *map(chunk, tail)]) for found, tail in plans]
-        for memo, met in ((self.pieces, need), (self.chunks, fresh)):
-            for x in met:
-                if len(x) > MEMO_CHARS:
-                    del memo[x]
+        """Ids as little-endian unsigned 32-bit integers. Texts are taken some at a
+        time, about SLICE_CHARS together, as what is new in them is held in memory."""
+        out: list[bytes] = []
+        first, size = 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= SLICE_CHARS or k + 1 == len(texts):
+                out += self.encode_slice(texts[first : k + 1])
+                first, size = k + 1, 0
+        return out
+
+    def encode_slice(self, texts: list[str]) -> list[bytes]:
+        if len(self.pieces) > MEMO_PIECES:
+            # A full memo gets older as a whole; what is met again is taken over.
+            self.older, self.pieces = self.pieces, {}
+        found = list(map(self.find, texts))
+        met = set().union(*found)
+        self.learn(met.difference(self.pieces))
+        piece = self.pieces.__getitem__
+        out = [b"".join(map(piece, x)) for x in found]
+        for x in met:
+            if len(x) > MEMO_CHARS:
+                del self.pieces[x]
         return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(rank_file: bytes, pattern: str) -> Encoder:
-    """One per process and vocabulary."""
-    key = hashlib.sha256(rank_file + pattern.encode()).hexdigest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(rank_file, pattern)
-    return _encoders[key]
+def encoder(ranks, pattern: str) -> Encoder:
+    """One per worker and vocabulary. ranks: (digest, broadcast rank file)."""
+    return held("bpe", (ranks[0], pattern), lambda: Encoder(ranks[1].value, pattern))
 
 
 def _shared(df: DataFrame, path: str):
+    """(digest, broadcast) of a rank file."""
     with open(path, "rb") as f:
         data = f.read(MAX_VOCABULARY_BYTES + 1)
     if len(data) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"rank file over {MAX_VOCABULARY_BYTES} bytes")
-    return df.sparkSession.sparkContext.broadcast(data)
+    return hashlib.sha256(data).hexdigest(), df.sparkSession.sparkContext.broadcast(data)
 
 
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -332,7 +318,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     ranks = _shared(df, path)
 
     def work(rows):
-        e = encoder(ranks.value, pattern)
+        e = encoder(ranks, pattern)
         return {"id": rows["id"], "ids": e.encode([t or "" for t in rows["text"]])}
 
     picked = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -345,7 +331,7 @@ def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_c
     ranks = _shared(df, path)
 
     def work(rows):
-        e = encoder(ranks.value, pattern)
+        e = encoder(ranks, pattern)
         return {"id": rows["id"], "decoded": [e.decode(x or b"") for x in rows["ids"]]}
 
     picked = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
@@ -360,7 +346,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
     ranks = _shared(df, path)
 
     def work(rows):
-        e = encoder(ranks.value, pattern)
+        e = encoder(ranks, pattern)
         out = {"id": rows["id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for ids in e.encode([t or "" for t in rows["text"]]):
             out["n_tokens"].append(len(ids) // 4)
@@ -376,14 +362,16 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
 
 def encoded(df: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` with ids (binary) and round_trip (whether the ids decode
-    to the text) in place of the text."""
+    to the text) in place of the text; columns that have these names already give
+    way to them."""
     ranks = _shared(df, path)
 
-    def work(rows):
-        e = encoder(ranks.value, pattern)
-        texts = [t or "" for t in rows.pop(text_col)]
+    def work(texts, _):
+        e = encoder(ranks, pattern)
+        texts = [t or "" for t in texts]
         ids = e.encode(texts)
-        return rows | {"ids": ids, "round_trip": [e.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]}
+        return ids, [e.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]
 
-    rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col]
-    return map_batches(df, work, ", ".join([*rest, "ids binary", "round_trip boolean"]))
+    rest = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (text_col.lower(), "ids", "round_trip")]
+    picked = df.select(*rest, F.col(text_col).alias("ids"), F.lit(False).alias("round_trip"))
+    return replace_batches(picked, ["ids", "round_trip"], work, {"ids": BinaryType()})

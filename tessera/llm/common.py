@@ -2,37 +2,71 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..scratch import Scratch, ship
 
-__all__ = ["Scratch", "collect_bounded", "map_batches", "read_table", "ship"]
+__all__ = ["Scratch", "collect_bounded", "filter_batches", "held", "map_batches", "read_table", "replace_batches", "ship"]
 
 #: Rows and bytes that one Arrow batch brings to a Python worker at most. Texts
 #: may hold 100,000 characters and more, so batches are kept below the defaults.
-BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+
+_held: dict = {"owner": None, "made": {}}
+
+
+def held(owner: str, key, make: Callable, most: int = 1):
+    """What an operator keeps in a worker process between batches: at most ``most``
+    values by key. Workers are reused by later stages, so the first call of another
+    operator lets go of all of it and gives the memory back."""
+    if _held["owner"] != owner:
+        _held["made"].clear()
+        _held["owner"] = owner
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+    made = _held["made"]
+    if key not in made:
+        if len(made) >= most:
+            made.clear()
+        made[key] = make()
+    return made[key]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(
-    df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str
-) -> DataFrame:
+def _bounded(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, unless it has smaller bounds already. The
+    setting is read when a plan runs, so it can't be put back here."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(size).rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
+    ship(spark)
+
+
+def _arrow(shape: StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(shape)
+
+
+def map_batches(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Run ``work`` over column lists of at most BATCH_ROWS rows each, without a
     shuffle. It gets and returns a dict of equally long lists."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    _bounded(spark)
     shape = spark.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    out = to_arrow_schema(shape)
-    ship(spark)
+    out = _arrow(shape)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -43,6 +77,47 @@ def map_batches(
     return df.mapInArrow(run, shape)
 
 
+def _place(df: DataFrame, name: str) -> int:
+    """Where a column stands; names may be told apart by case only."""
+    if name in df.columns:
+        return df.columns.index(name)
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
+def filter_batches(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows for whose values of one column ``keep`` gives true. Only that column
+    becomes Python values; the others stay as they came."""
+    _bounded(df.sparkSession)
+    at = _place(df, column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def replace_batches(df: DataFrame, columns: list[str], work: Callable[..., tuple[list, ...]], types: dict[str, DataType] | None = None) -> DataFrame:
+    """Rows with some columns replaced by what ``work`` makes of them, list by list,
+    some of them of another type; the others stay as they came."""
+    _bounded(df.sparkSession)
+    places = [_place(df, c) for c in columns]
+    fields = [StructField(f.name, types[f.name]) if types and f.name in types else f for f in df.schema]
+    shape = StructType(fields)
+    out = _arrow(shape)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                arrays = list(batch.columns)
+                for i, made in zip(places, work(*(arrays[i].to_pylist() for i in places)), strict=True):
+                    arrays[i] = pa.array(made, type=out.field(i).type)
+                yield pa.RecordBatch.from_arrays(arrays, names=out.names)
+
+    return df.mapInArrow(run, shape)
+
+
 def collect_bounded(df: DataFrame, most: int, what: str) -> list:
     """Rows of a result whose size has a documented bound; it is an error, not a
     silent cut, if the bound doesn't hold."""

@@ -15,8 +15,10 @@ a window. Nulls, and texts or items without words, match nothing, and neither
 do items with a null id. Repeated item ids count once; repeated documents are
 treated row by row. Other input columns are ignored.
 
-The benchmark is cut into blocks of BLOCK_CHARS; every block is collected,
-broadcast and searched by one pass over a shard, so no broadcast is larger.
+The benchmark is cut into blocks of BLOCK_CHARS; each is collected, broadcast and
+searched in a pass of its own, so that no broadcast or worker holds more. Usual
+benchmarks are one block. An empty table of documents gives no rows; texts are
+read whole however long.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import Scratch, filter_batches, held, map_batches, replace_batches
 
 WINDOW = 8
 BLOCK_CHARS = 16 << 20
@@ -141,78 +143,111 @@ class Index:
         return begins, (at, size, item), longest
 
 
-_indexes: dict[str, Index] = {}
-
-
-def index_of(items: list[tuple[str, str]], key: str) -> Index:
-    if key not in _indexes:
-        if len(_indexes) >= 2:
-            _indexes.clear()
-        _indexes[key] = Index(items)
-    return _indexes[key]
+def blocks_of(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:
+    """Blocks of (item, text) with at most BLOCK_CHARS of text each, or one item
+    that is longer by itself. Items go to blocks by their id's hash; blocks are
+    made more until the largest is small enough."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("item is not null and text is not null").distinct()
+    by_item = items.groupBy("item").agg(F.sum(F.length("text")).alias("n"))
+    total = by_item.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    if total.n <= BLOCK_CHARS:
+        return [items]
+    count = -(-2 * total.n // BLOCK_CHARS)
+    block = lambda k: F.pmod(F.xxhash64("item"), F.lit(k))
+    while by_item.groupBy(block(count)).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] > max(BLOCK_CHARS, total.most) and count < total.n:
+        count *= 2
+    return [items.filter(block(count) == b) for b in range(count)]
+
+
+def shared_block(block: DataFrame):
+    """(digest, broadcast rows) of a block."""
+    found = sorted((r.item, r.text) for r in block.collect())
+    key = hashlib.sha256(repr(found).encode()).hexdigest()
+    return key, block.sparkSession.sparkContext.broadcast(found)
+
+
+def shard_matches(block, texts: list[str | None]):
+    """For a shard's documents: their words, intervals of hit words (flattened
+    starts and ends), item ids, longest matches."""
+    key, rows = block
+    index = held("decontaminate", key, lambda: Index(rows.value))
+    shard = [words(t) for t in texts]
+    begins, (at, size, item), (doc, who, start, there, length) = index.matches(shard)
+    hits = np.zeros(int(begins[-1]) + WINDOW + 1, np.int64)
+    np.add.at(hits, at, 1)
+    np.add.at(hits, at + size, -1)
+    names: list[set[str]] = [set() for _ in shard]
+    longest: list[list[dict]] = [[] for _ in shard]
+    for d, w, s, n in zip(doc.tolist(), who.tolist(), start.tolist(), length.tolist(), strict=True):
+        names[d].add(index.names[w])
+        longest[d].append({"item_id": index.names[w], "start": s, "n_words": n})
+    inside = (np.cumsum(hits) > 0).astype(np.int8)
+    edges = np.diff(inside, prepend=0)
+    first, after = np.flatnonzero(edges > 0), np.flatnonzero(edges < 0)
+    owner = np.searchsorted(begins, first, "right") - 1
+    spans: list[list[int]] = [[] for _ in shard]
+    for d, a, b in zip(owner.tolist(), (first - begins[owner]).tolist(), (after - begins[owner]).tolist(), strict=True):
+        spans[d] += (a, b)
+    return [len(w) for w in shard], spans, names, longest
 
 
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str) -> list:
-    """Broadcast blocks of (item id, text). Rows go to blocks by the running
-    size of the texts, counted in ranges of the id's hash."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("item is not null and text is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
-    count = max(1, -(-2 * total // BLOCK_CHARS))  # half full on average
-    out = []
-    for b in range(count):
-        mine = items if count == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(count)) == b)
-        found = [(r.item, r.text) for r in mine.collect()]
-        key = hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
-        out.append((spark.sparkContext.broadcast(found), key))
-    return out
+def covered(spans: list[int]) -> int:
+    """Words inside any of the intervals."""
+    total, past = 0, 0
+    for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)):
+        total += max(0, b - max(a, past))
+        past = max(past, b)
+    return total
 
 
-def shard_matches(blocks: list, texts: list[str | None]):
-    """(words by document, hit words, item ids, longest matches) of a shard."""
-    shard = [words(t) for t in texts]
-    hits: np.ndarray | None = None
-    names: list[set[str]] = [set() for _ in shard]
-    longest: list[list[dict]] = [[] for _ in shard]
-    begins = None
-    for shared, key in blocks:
-        index = index_of(shared.value, key)
-        begins, (at, size, item), (doc, who, start, there, length) = index.matches(shard)
-        if hits is None:
-            hits = np.zeros(int(begins[-1]) + WINDOW + 1, np.int64)
-        np.add.at(hits, at, 1)
-        np.add.at(hits, at + size, -1)
-        for d, w, s, n in zip(doc.tolist(), who.tolist(), start.tolist(), length.tolist(), strict=True):
-            names[d].add(index.names[w])
-            longest[d].append({"item_id": index.names[w], "start": s, "n_words": n})
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(hits) > 0)])
-    n_hit = [int(covered[e] - covered[b]) for b, e in zip(begins[:-1], begins[1:], strict=True)]
-    return [len(w) for w in shard], n_hit, names, longest
+FOUND = "n_words bigint, hit array<bigint>, items array<string>, matches array<struct<item_id:string,start:bigint,n_words:bigint>>"
 
 
 def report(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, n_words, n_hit, n_items, items array of item ids as text, sorted,
     matches array of (item_id, start, n_words): longest matches and their
-    places in words) of every document."""
+    places in words) of every document. Each block of the benchmark is one pass;
+    all passes but the last are written, with the texts."""
     blocks = blocks_of(benchmark, item_col, item_text_col)
-
-    def work(rows):
-        n, hit, names, longest = shard_matches(blocks, rows["text"])
-        found = [sorted(x) for x in names]
-        return {"id": rows["id"], "n_words": n, "n_hit": hit, "n_items": list(map(len, found)), "items": found, "matches": longest}
-
-    picked = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = picked.schema["id"].dataType.simpleString()
-    made = map_batches(picked, work, f"id {kind}, n_words bigint, n_hit bigint, n_items bigint, items array<string>, matches array<struct<item_id:string,start:bigint,n_words:bigint>>")
-    return made.withColumnRenamed("id", id_col)
-
-
-def remove(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", least_items: int = 2) -> DataFrame:
-    """The documents in which fewer than ``least_items`` items occur."""
-    blocks = blocks_of(benchmark, "item_id", "text")
-
-    def work(rows):
-        names = shard_matches(blocks, rows[text_col])[2]
-        return {c: [v for v, x in zip(values, names, strict=True) if len(x) < least_items] for c, values in rows.items()}
-
-    return map_batches(documents, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema))
+    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    scratch = Scratch(documents.sparkSession, "decontaminate")
+    for k, part in enumerate(blocks):
+        block, last = shared_block(part), k + 1 == len(blocks)
+
+        def work(given, block=block, last=last):
+            n, spans, names, longest = shard_matches(block, given["text"])
+            names = list(map(sorted, names))
+            if "hit" in given:
+                spans = [a + b for a, b in zip(given["hit"], spans, strict=True)]
+                names = [sorted({*a, *b}) for a, b in zip(given["items"], names, strict=True)]
+                longest = [a + b for a, b in zip(given["matches"], longest, strict=True)]
+            out = {"id": given["id"], "n_words": n, "items": names, "matches": longest}
+            return out | ({"n_hit": list(map(covered, spans)), "n_items": list(map(len, names))} if last else {"text": given["text"], "hit": spans})
+
+        if last:
+            shape = f"id {kind}, n_words bigint, n_hit bigint, n_items bigint, items array<string>, matches array<struct<item_id:string,start:bigint,n_words:bigint>>"
+            return map_batches(rows, work, shape).withColumnRenamed("id", id_col)
+        rows = scratch.keep(map_batches(rows, work, f"id {kind}, text string, {FOUND}"))
+        block[1].destroy()
+    raise AssertionError("there is always a block")
+
+
+def remove(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", least_items: int = 2, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents in which fewer than ``least_items`` items occur, with all their
+    columns. An item lies in one block, so the items of several passes add up."""
+    blocks = blocks_of(benchmark, item_col, item_text_col)
+    if len(blocks) == 1:
+        block = shared_block(blocks[0])
+        return filter_batches(documents, text_col, lambda texts: [len(x) < least_items for x in shard_matches(block, texts)[2]])
+    scratch, rows, count = Scratch(documents.sparkSession, "decontaminate"), documents, "_items_met"
+    rows = rows.withColumn(count, F.lit(0).cast("bigint"))
+    for part in blocks:
+        block = shared_block(part)
+
+        def work(texts, met, block=block):
+            return texts, [a + len(b) for a, b in zip(met, shard_matches(block, texts)[2], strict=True)]
+
+        rows = scratch.keep(replace_batches(rows, [text_col, count], work).filter(F.col(count) < least_items))
+        block[1].destroy()
+    return rows.select([F.col(f"`{c}`") for c in documents.columns])

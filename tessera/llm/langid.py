@@ -1,8 +1,8 @@
 """Language by compression: the dictionary that packs a text best names its language.
 
 Fitting takes, per language, the SAMPLE_DOCS labelled texts of smallest hash and
-makes a raw-content zstandard dictionary of at most DICTIONARY_BYTES from them
-(equal texts once). A text is reduced to lower-case letters and single spaces,
+makes a raw-content zstandard dictionary of at most DICTIONARY_BYTES from all of
+them (equal texts once). A text is reduced to lower-case letters and single spaces,
 cut into blocks of BLOCK_BYTES so that a long text can't serve as its own
 dictionary, and every block is compressed with every dictionary. The smallest
 total names the language; ties go to the language that sorts first.
@@ -10,13 +10,15 @@ total names the language; ties go to the language that sorts first.
 ``rejected`` if it has no letter or if the runner-up needs less than MARGIN more.
 
 Null texts and texts without a letter are ``und`` with score 0. Labels that are
-null, and null or letterless texts, don't take part in fitting. With no labelled
-rows at all, every text is ``und``. Repeated rows are treated row by row; other
-input columns are ignored.
+null, and null or letterless texts, don't take part in fitting; rows that repeat
+an id count by their texts, once each. With no labelled rows at all, every text
+is ``und``. Repeated rows are treated row by row, texts whole however long; an
+empty table gives no rows; other input columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 
@@ -24,18 +26,18 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import collect_bounded, map_batches
+from .common import collect_bounded, filter_batches, held, map_batches
 
-SAMPLE_DOCS = 200
-SAMPLE_CHARS = 20_000  # of one sampled text, so that a few long ones don't fill a dictionary
-DICTIONARY_BYTES = 64 << 10
+SAMPLE_DOCS = 128
+#: Bound on a language's dictionary, well above SAMPLE_DOCS usual texts.
+DICTIONARY_BYTES = 512 << 10
 MAX_LANGUAGES = 256
 BLOCK_BYTES = 4096
 LEVEL = 5
 #: Share of its size by which the runner-up must be larger.
 MARGIN = 0.004
 #: Within this share, texts are measured once more at several levels.
-FINE_MARGIN, FINE_LEVELS = 0.05, (1, 3, 8, 12, 16)
+FINE_MARGIN, FINE_LEVELS = 0.05, (1, 3, 8, 12)
 UNKNOWN = "und"
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -59,22 +61,35 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     row_number() <= n is cut down in every task before rows are exchanged."""
     usable = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     usable = usable.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = usable.select("id", "lang").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_DOCS)
-    picked = collect_bounded(ids, SAMPLE_DOCS * MAX_LANGUAGES, "language sample")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
+    each = usable.select("id", "lang", F.xxhash64("text").alias("text"))
+    rows = each.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_DOCS)
+    picked = collect_bounded(rows, SAMPLE_DOCS * MAX_LANGUAGES, "language sample")
     if not picked:
         return {}
-    wanted = usable.filter(F.col("id").isin([r.id for r in picked])).withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
-    texts: dict[str, dict[str, tuple]] = {}
-    for r in collect_bounded(wanted, 4 * SAMPLE_DOCS * MAX_LANGUAGES, "language sample"):
-        if t := reduced(r.text):
-            texts.setdefault(r.lang, {}).setdefault(t, r.id)
-    out = {}
-    for lang, found in sorted(texts.items()):
-        share = max(256, DICTIONARY_BYTES // len(found))
-        parts = [t.encode()[: 4 * share] for t, _ in sorted(found.items(), key=lambda x: (str(x[1]), x[0]))]
-        out[lang] = b" ".join(parts)[:DICTIONARY_BYTES]
-    return out
+    ids = sorted({r.id for r in picked}, key=str)
+    wanted = usable.filter(F.col("id").isin(ids)).select("id", "lang", F.xxhash64("text").alias("digest"), F.substring("text", 1, DICTIONARY_BYTES).alias("text"))
+    wanted = wanted.groupBy("id", "lang", "digest").agg(F.min("text").alias("text"))
+    chosen = {(r.id, r.lang, r.text) for r in picked}
+    texts: dict[str, dict[bytes, tuple]] = {}
+    for r in wanted.toLocalIterator():
+        if (r.id, r.lang, r.digest) in chosen and (t := reduced(r.text)):
+            texts.setdefault(r.lang, {}).setdefault(t.encode(), (str(r.id), r.digest))
+    return {lang: content([t for t, _ in sorted(found.items(), key=lambda x: (x[1], x[0]))]) for lang, found in sorted(texts.items())}
+
+
+def content(texts: list[bytes]) -> bytes:
+    """All texts in one dictionary of at most DICTIONARY_BYTES. If they are more,
+    the longest are shortened, at spaces, to one common length; none is left out."""
+    room, most = DICTIONARY_BYTES - len(texts), DICTIONARY_BYTES
+    sizes = sorted(map(len, texts))
+    if sum(sizes) > room:
+        for k, size in enumerate(sizes):
+            if size * (len(sizes) - k) > room:
+                most = max(1, room // (len(sizes) - k))
+                break
+            room -= size
+    return b" ".join(t if len(t) <= most else t[: most + 1].rpartition(b" ")[0] or t[:most].decode(errors="ignore").encode() for t in texts)
 
 
 class Classifier:
@@ -117,14 +132,8 @@ class Classifier:
         return self.names[best], score, second - low < MARGIN * low
 
 
-_made: dict[int, Classifier] = {}
-
-
 def classifier(model) -> Classifier:
-    if model.id not in _made:
-        _made.clear()
-        _made[model.id] = Classifier(model.value)
-    return _made[model.id]
+    return held("langid", model.id, lambda: Classifier(model.value))
 
 
 class Model:
@@ -133,7 +142,7 @@ class Model:
 
     def __init__(self, spark, contents: dict[str, bytes]):
         self.shared = spark.sparkContext.broadcast(contents)
-        self.id = hash(tuple(sorted(contents.items())))
+        self.id = hashlib.sha256(repr(sorted(contents.items())).encode()).hexdigest()
 
     @property
     def value(self):
@@ -158,9 +167,8 @@ def keep_known(df: DataFrame, contents: dict[str, bytes], text_col: str = "text"
     """The rows of ``df`` whose language is told with a sufficient margin."""
     model = Model(df.sparkSession, contents)
 
-    def work(rows):
+    def keep(texts):
         c = classifier(model)
-        keep = [not c.classify(t)[2] for t in rows[text_col]]
-        return {name: [v for v, k in zip(values, keep, strict=True) if k] for name, values in rows.items()}
+        return [not c.classify(t)[2] for t in texts]
 
-    return map_batches(df, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema))
+    return filter_batches(df, text_col, keep)

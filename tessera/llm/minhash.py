@@ -54,7 +54,9 @@ ROWS = 4
 BANDS = REGISTERS // ROWS
 SMALL = 16
 SIGMAS = 5.2
-BLOCK = 1024
+BLOCK = 512
+#: Parts of a bucket that rows are dealt by.
+SALTS = 32
 #: Hashes of a set, 4 bytes each, that large buckets get beside the sketch.
 SAMPLE = 256
 FEW = 4
@@ -62,14 +64,12 @@ FEW = 4
 FAMILY = 64
 #: Up to so many ids go to all executors (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
-MEMO_WORDS = 400_000
 REST = 64 - REGISTER_BITS
 
 _rng = np.random.default_rng(20)
 FACTORS = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: For each register, the order in which it looks for one to borrow from.
 DONORS = np.array([_rng.permutation(REGISTERS) for _ in range(REGISTERS)])
-_words: dict[bytes, int] = {}
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -77,16 +77,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_words) > MEMO_WORDS:
-        _words.clear()
-    known = _words.get
-    codes = []
-    for w in words:
-        code = known(w)
-        if code is None:
-            code = _words[w] = xxhash.xxh3_64_intdigest(w)
-        codes.append(code)
-    codes = np.array(codes, np.uint64)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     size = min(SHINGLE, len(codes))
     n = len(codes) - size + 1
     h = np.full(n, size, np.uint64)
@@ -201,7 +192,7 @@ def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(bucket, node): BANDS rows for each row of (node, sketch)."""
+    """(bucket, node, salt): BANDS rows for each row of (node, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,21 +206,42 @@ def bands(classes: DataFrame) -> DataFrame:
                 key = (key ^ key >> np.uint64(shift)) * np.uint64(factor)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).reshape(-1)), pa.array(np.repeat(node, BANDS))], names=["bucket", "node"])
 
-    return classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
+    made = classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
+    return made.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
 
 
-def first_pairs(large: DataFrame) -> DataFrame:
+def spread(per: DataFrame) -> DataFrame:
+    """Facts about buckets (bucket, salts, ...) to a row for each salt, to be joined
+    with the bucket's rows on (bucket, salt): no join brings a whole bucket into
+    one task, however large it is."""
+    return per.withColumn("salt", F.explode("salts")).drop("salts")
+
+
+def buckets_of(banded: DataFrame) -> DataFrame:
+    """(bucket, n, low, salts) of the buckets with two classes or more, counted by
+    (bucket, salt) first."""
+    parts = banded.groupBy("bucket", "salt").agg(F.count("*").alias("n"), F.min("node").alias("low"))
+    return parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.collect_list("salt").alias("salts")).filter("n >= 2")
+
+
+def first_pairs(shared: DataFrame) -> DataFrame:
     """(a, b): for each class the smallest one that it shares a bucket with, if
-    smaller than itself. large: (bucket, node, n, low)."""
-    return large.groupBy("node").agg(F.min("low").alias("a")).filter("a < node").select("a", F.col("node").alias("b"))
+    smaller than itself. shared: (bucket, salt, node, n, low)."""
+    return shared.groupBy("node").agg(F.min("low").alias("a")).filter("a < node").select("a", F.col("node").alias("b"))
 
 
-def named(large: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of buckets with their component and their smallest id's (head)."""
+def still_open(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(bucket, salt, node, n, low, component, head) of the rows in buckets that
+    hold more than one component; head is the smallest id's component. A class is
+    the smallest of BANDS buckets at most, so heads are looked up by bucket."""
     if labels is None:
-        return large.withColumn("component", F.col("node")).withColumn("head", F.col("low"))
-    own = large.join(labels.toDF("node", "component"), "node", "left").join(labels.toDF("low", "head"), "low", "left")
-    return own.withColumn("component", F.coalesce("component", "node")).withColumn("head", F.coalesce("head", "low"))
+        return shared.withColumn("component", F.col("node")).withColumn("head", F.col("low"))
+    own = shared.join(labels.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = own.groupBy("bucket", "salt").agg(F.min("low").alias("low"), F.min("component").alias("least"), F.max("component").alias("most"))
+    per = parts.groupBy("bucket").agg(F.min("low").alias("low"), F.min("least").alias("least"), F.max("most").alias("most"), F.collect_list("salt").alias("salts"))
+    several = per.filter("least <> most").select("bucket", "low", "salts")
+    heads = several.join(labels.toDF("low", "head"), "low", "left").select("bucket", "salts", F.coalesce("head", "low").alias("head"))
+    return own.join(spread(heads), ["bucket", "salt"]).select("bucket", "salt", "node", "n", "low", "component", "head")
 
 
 def in_buckets(open_: DataFrame, classes: DataFrame) -> DataFrame:
@@ -325,13 +337,12 @@ def in_blocks(members: DataFrame, profiles: DataFrame, everything: bool) -> Data
     n_shingles, hashes), hashes being the sample. Every class outside the
     component of the bucket's smallest id meets all of the bucket. A row of nulls
     says that a block held pairs back; with ``everything``, none does."""
-    named = members
     outside = F.col("component") != F.col("head")
-    counts = named.groupBy("bucket").agg(F.sum(outside.cast("long")).alias("outside")).filter("outside > 0").withColumn("blocks", F.ceil(F.col("outside") / BLOCK).cast("int"))
+    parts = members.groupBy("bucket", "salt").agg(F.count("*").alias("n"), F.sum(outside.cast("long")).alias("outside"))
+    shape = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("outside").alias("outside"), F.collect_list("salt").alias("salts")).filter("outside > 0")
     # Large inner parts are cut too, so that no block holds more than about BLOCK of either side.
-    sizes = named.groupBy("bucket").agg(F.count("*").alias("n"))
-    shape = counts.join(sizes, "bucket").withColumn("cuts", F.ceil((F.col("n") - F.col("outside")) / BLOCK).cast("int"))
-    placed = named.join(shape.select("bucket", "blocks", "cuts"), "bucket").withColumn("out", outside)
+    shape = shape.select("bucket", "salts", F.ceil(F.col("outside") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("outside")) / BLOCK).cast("int").alias("cuts"))
+    placed = members.join(spread(shape), ["bucket", "salt"]).withColumn("out", outside)
     mine = F.pmod(F.xxhash64("node"), F.when(F.col("out"), F.col("blocks")).otherwise(F.greatest("cuts", F.lit(1)))).cast("int")
     placed = placed.withColumn("mine", mine)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -377,16 +388,25 @@ class Links:
 
     def __init__(self, df: DataFrame, scratch: Scratch, id_col: str, text_col: str):
         self.df, self.scratch, self.id_col, self.text_col = df, scratch, id_col, text_col
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
         self.sets: DataFrame | None = None
 
     def add(self, links: DataFrame) -> bool:
-        """Whether there were any."""
+        """Whether there were any. Only the new links, between the components that
+        there are already, are followed; their ends are in labels from then on."""
         if links.isEmpty():
             return False
-        self.links = links if self.links is None else self.scratch.keep(self.links.unionByName(links))
-        self.labels = components(self.links, self.scratch)
+        if self.labels is None:
+            self.labels = components(links, self.scratch)
+            return True
+        known = self.labels
+        ends = links.select("a", "b").join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left")
+        ends = self.scratch.keep(ends.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
+        joined = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), self.scratch)
+        met = ends.select(F.col("a").alias("node"), F.col("ca").alias("old")).union(ends.select("b", "cb")).distinct()
+        nodes = known.toDF("node", "old").union(met).distinct()
+        now = nodes.join(joined.toDF("old", "component"), "old", "left").select("node", F.coalesce("component", "old").alias("component"))
+        self.labels = self.scratch.keep(now)
         return True
 
     def apart(self, pairs: DataFrame) -> DataFrame:
@@ -427,30 +447,28 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # A class's rows agree in sketch and size, so any of each will do.
     classes = scratch.keep(known.groupBy("class").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch")))
     banded, banded_path = scratch.write(bands(classes))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("low")).filter("n >= 2")
-    large, large_path = scratch.write(banded.join(shared, "bucket"))
+    shared, shared_path = scratch.write(banded.join(spread(buckets_of(banded)), ["bucket", "salt"]))
     scratch.drop(banded_path)
     links = Links(df, scratch, id_col, text_col)
     # Rows of one id with different texts are one document.
     nodes = known.join(classes.select("class", "node"), "class").select("doc_id", "node")
     several = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.collect_set("node").alias("all")).filter("a <> b")
     links.add(scratch.keep(several.select("a", F.explode("all").alias("b")).filter("a <> b")))
-    first = scratch.keep(estimated(first_pairs(large), classes))
+    first = scratch.keep(estimated(first_pairs(shared), classes))
     if not first.isEmpty():
         links.confirm(first)
     # Buckets that are all in one component by now have no link to add.
-    told = named(large, links.labels)
-    open_ = told.join(told.filter("component <> head").select("bucket").distinct(), "bucket", "left_semi")
-    open_, open_path = scratch.write(open_)
-    scratch.drop(large_path)
+    open_, open_path = scratch.write(still_open(shared, links.labels))
+    scratch.drop(shared_path)
     tried = scratch.keep(in_buckets(open_, classes).join(first.select("a", "b"), ["a", "b"], "left_anti"))
     links.settle(tried)
-    hot = open_.filter(F.col("n") > SMALL).select("bucket", "node", "n", "low")
+    hot = open_.filter(F.col("n") > SMALL).select("bucket", "salt", "node", "n", "low")
     tried, everything = first.unionByName(tried).select("a", "b"), False
-    if not hot.isEmpty():
-        ids = scratch.keep(hot.select("node").distinct())
-        profiles = scratch.keep(full_sets(df, ids, id_col, text_col, sample).join(classes.select("node", "sketch", "n_shingles"), "node"))
-    while not (members := scratch.keep(named(hot, links.labels))).filter("component <> head").isEmpty():
+    profiles = None
+    while not (members := scratch.keep(still_open(hot, links.labels))).filter("component <> head").isEmpty():
+        if profiles is None:
+            ids = scratch.keep(members.select("node").distinct())
+            profiles = scratch.keep(full_sets(df, ids, id_col, text_col, sample).join(classes.select("node", "sketch", "n_shingles"), "node"))
         found = scratch.keep(in_blocks(members, profiles, everything))
         rest = scratch.keep(found.filter("a is not null").join(tried, ["a", "b"], "left_anti"))
         joined = links.settle(rest)
@@ -467,22 +485,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         out = out.withColumn("component", F.lit(None).cast("long"))
     # Null classes (no words) stay by themselves; null ids have no component.
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "node", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    told = Scratch(spark, "near").keep(out)
+    scratch.close()
+    return told
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that represent their group; of rows that repeat an id,
-    one. Rows with a null id or an empty set stay."""
+    """The rows of ``df`` that represent their group, with all their columns; of
+    rows that repeat an id, the one whose values come first as text. Rows with a
+    null id or an empty set stay."""
     scratch = Scratch(df.sparkSession, "keep")
-    told = scratch.keep(near_duplicates(df, id_col, text_col).filter(F.col("doc_id").isNotNull()))
+    told = near_duplicates(df, id_col, text_col).filter(F.col("doc_id").isNotNull())
     gone = scratch.keep(told.filter("not kept").select(F.col("doc_id").alias(id_col)).distinct())
     few = gone.count() <= BROADCAST_IDS
     left = df.join(F.broadcast(gone) if few else gone, id_col, "left_anti")
     twice = scratch.keep(told.filter("kept").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(id_col)))
+    columns = [F.col(f"`{c}`") for c in df.columns]
     if twice.isEmpty():
-        return left.select(df.columns)
-    once = left.join(twice, id_col, "left_anti")
-    return once.select(df.columns).unionByName(left.join(twice, id_col, "left_semi").dropDuplicates([id_col]).select(df.columns))
+        return left.select(columns)
+    once = left.join(twice, id_col, "left_anti").select(columns)
+    rows = F.struct(*columns)
+    first = left.join(twice, id_col, "left_semi").groupBy(F.col(id_col).alias("_id")).agg(F.min_by(rows, F.to_json(rows, {"ignoreNullFields": "false"})).alias("row"))
+    return once.unionByName(first.select("row.*"))
 
 
 def brute_force(texts: dict[int, str | None]) -> dict[int, int]:

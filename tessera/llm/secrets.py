@@ -13,8 +13,8 @@ part of such a link, a random string as ``paired``; two weak ones don't make
 each other a credential.
 
 Nulls count as empty texts. Spans of one kind don't overlap; offsets are code
-points, ends exclusive. Repeated rows are scanned row by row; other columns of
-the input are ignored.
+points, ends exclusive. Repeated rows are scanned row by row, texts whole however
+long; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, replace_batches
 
 KINDS = ("assign", "access", "hex", "endpoint", "paired")
 #: Characters on each side of a candidate that belong to its scope.
@@ -142,12 +142,13 @@ def masked(text: str) -> str:
 
 def mask(df: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """The rows of ``df`` with secrets masked in the text, and its length in code
-    points in ``length_col``. Null texts stay null, with their length."""
+    points in ``length_col``. Null texts stay null, with their length. Repeated rows
+    are masked row by row; an empty table stays empty."""
 
-    def work(rows):
-        texts = rows[text_col]
+    def work(texts, lengths=None):
         out = [None if t is None else masked(t) for t in texts]
-        lengths = {} if length_col is None else {length_col: [n if t is None else len(t) for n, t in zip(rows[length_col], out, strict=True)]}
-        return rows | {text_col: out} | lengths
+        if lengths is None:
+            return (out,)
+        return out, [n if t is None else len(t) for n, t in zip(lengths, out, strict=True)]
 
-    return map_batches(df, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema))
+    return replace_batches(df, [text_col] if length_col is None else [text_col, length_col], work)
