@@ -1,7 +1,7 @@
 """Toxic spans by a linear-chain conditional random field over words.
 
 Fitting. Of the labelled rows it takes the SAMPLE_DOCS of smallest hash per
-label, no longer than SAMPLE_CHARS. Each word has features: itself, and its
+label, with their whole texts. Each word has features: itself, and its
 prefixes of PREFIXES letters. A feature is telling if it occurs in at least
 LEAST toxic texts and ODDS times oftener (by share of texts) than in clean
 ones; words with a telling feature in toxic texts are the toxic tokens. The
@@ -17,8 +17,10 @@ marginal of 0.5 or more are the offending spans (code points, end exclusive).
 
 Null and empty texts have no words and get the score of the intercept, below
 0.5. With labels of one kind only, every score is the share of that kind.
-Labels that are null are not used; several labels of one document are rows of
-their own. Repeated documents are scored row by row; other columns are ignored.
+Labels that are null are not used, nor are null ids; several labels of one
+document are rows of their own; of rows that repeat an id, fitting takes the text
+that sorts first. Repeated documents are scored row by row, texts whole however
+long; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +36,13 @@ from pyspark.sql import functions as F
 from .common import collect_bounded, map_batches
 from .crf import LinearChain
 
-SAMPLE_DOCS, SAMPLE_CHARS = 2000, 12_000
+SAMPLE_DOCS = 2000
 PREFIXES = (3, 4, 5, 6)
 LEAST, ODDS = 4, 12.0
 WINDOW, EPOCHS = 24, 12
-MAX_MEMO = 300_000
+MAX_MEMO = 100_000
+#: Powers of the neutral matrix kept for each length; longer runs are squared.
+KEPT_POWERS = 64
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -55,10 +59,13 @@ class Model:
         self.steps, self.start = np.exp(steps - steps.max()), np.exp(start - start.max())
         self.known: dict[str, float] = {}
         one = self.steps * np.exp([0.0, neutral])
-        self.powers = [np.eye(2)]
-        for _ in range(512):  # converged to one direction long before
+        self.powers, self.doubled = [np.eye(2)], [one / one.sum()]
+        for _ in range(KEPT_POWERS):
             p = self.powers[-1] @ one
             self.powers.append(p / p.sum())
+        for _ in range(40):
+            p = self.doubled[-1] @ self.doubled[-1]
+            self.doubled.append(p / p.sum())
 
     def __getstate__(self):
         return self.__dict__ | {"known": {}}
@@ -73,6 +80,17 @@ class Model:
             self.known[word] = got
         return got
 
+    def power(self, n: int) -> np.ndarray:
+        """The matrix of n neutral words, up to scale; long runs by squaring."""
+        if n < len(self.powers):
+            return self.powers[n]
+        out = np.eye(2)
+        for k in range(n.bit_length()):
+            if n >> k & 1:
+                out = out @ self.doubled[k]
+                out /= out.sum()
+        return out
+
     def marginals(self, words: list[str]) -> tuple[list[int], np.ndarray]:
         """Places of the weighted words and their probabilities of label 1."""
         known, weight = self.known.get, self.weight
@@ -86,7 +104,6 @@ class Model:
                 emit.append(x)
         if not at:
             return [], np.zeros(0)
-        top = len(self.powers) - 1
         e = np.exp(np.clip(np.array(emit) + self.neutral, -30, 30))
         n = len(at)
         s, (p00, p01), (p10, p11) = self.start, *self.steps.tolist()
@@ -96,11 +113,11 @@ class Model:
             if past < 0:
                 if gap:  # the chain starts with neutral words
                     a1 *= math.exp(self.neutral)
-                    v = np.array([a0, a1]) @ self.powers[min(gap - 1, top)]
+                    v = np.array([a0, a1]) @ self.power(gap - 1)
                     a0, a1 = v[0] * p00 + v[1] * p10, v[0] * p01 + v[1] * p11
             else:
                 if gap:
-                    v = np.array([a0, a1]) @ self.powers[min(gap, top)]
+                    v = np.array([a0, a1]) @ self.power(gap)
                     a0, a1 = v
                 a0, a1 = a0 * p00 + a1 * p10, a0 * p01 + a1 * p11
             a1 *= x
@@ -111,7 +128,7 @@ class Model:
         out = np.zeros(n)
         b = np.ones(2)
         if rest := len(words) - 1 - at[-1]:
-            b = self.powers[min(rest, top)] @ b
+            b = self.power(rest) @ b
         for k in range(n - 1, -1, -1):
             b /= b.sum()
             f0, f1 = forward[k]
@@ -121,7 +138,7 @@ class Model:
                 c0, c1 = b[0], b[1] * e[k]
                 b = np.array([p00 * c0 + p01 * c1, p10 * c0 + p11 * c1])
                 if gap := at[k] - at[k - 1] - 1:
-                    b = self.powers[min(gap, top)] @ b
+                    b = self.power(gap) @ b
         return at, out
 
     def summary(self, n: int, marginals: np.ndarray) -> tuple[float, float, float]:
@@ -154,8 +171,8 @@ def sample(texts: DataFrame, marks: DataFrame) -> list[tuple[str, int]]:
     picked = collect_bounded(ranked, 2 * SAMPLE_DOCS, "toxicity sample")
     if not picked:
         return []
-    usable = texts.filter(F.col("id").isin([r.id for r in picked]) & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    said = collect_bounded(usable.select("id", "text"), 8 * SAMPLE_DOCS, "toxicity sample")
+    usable = texts.filter(F.col("id").isin([r.id for r in picked]) & F.col("text").isNotNull())
+    said = collect_bounded(usable.groupBy("id").agg(F.min("text").alias("text")), 2 * SAMPLE_DOCS, "toxicity sample")
     found: dict = {}
     for r in picked:
         found.setdefault(r.id, set()).add(r.toxic)
@@ -188,7 +205,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
 
     seqs, labels = [], []
     for words, y in zip(texts, marks, strict=True):
-        for i in range(0, min(len(words), 16 * WINDOW), WINDOW):
+        for i in range(0, len(words), WINDOW):
             part = words[i : i + WINDOW]
             rows_ = [coded(w) for w in part]
             hot = [r is not neutral for r in rows_]
