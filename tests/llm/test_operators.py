@@ -229,8 +229,7 @@ def test_ann_recall_ties_and_odd_rows(spark):
 def test_html_on_held_out_templates():
     m, right, total = html.model(), 0, 0
     for page, labels in html.labelled_pages(80, seed=99):
-        found = html.blocks(page)
-        marks = m.chain.viterbi(np.array([m.emit(b) for b in found]))
+        marks = m.chain.viterbi(m.emissions(page)[1])
         right += sum(a == b for a, b in zip(marks, labels, strict=True))
         total += len(labels)
     assert right / total > 0.97
