@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 BINARY = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv, ast.FloorDiv: operator.floordiv, ast.Mod: operator.mod}
+# The names that an expression may use.
 CONSTANTS = {"pi": math.pi, "e": math.e, "inf": math.inf, "tau": math.tau}
 NAMES = "sqrt log log10 log2 exp sin cos tan asin acos atan ceil floor factorial gcd".split()
 FUNCTIONS = {n: getattr(math, n) for n in NAMES} | {"abs": abs, "round": round, "min": min, "max": max, "sum": sum, "len": len, "int": int, "float": float, "pow": pow}
+# End of fixed values.
 #: Powers and factorials beyond this many digits are refused.
 MAX_DIGITS = 4000
 
 
+_Ellipsis = type(...)
+
+
 def power(a, b):
     if isinstance(a, int) and isinstance(b, int) and b > 0 and abs(a) > 1 and b * math.log10(abs(a)) > MAX_DIGITS:
         raise ValueError("result too large")
@@ -29,7 +34,7 @@ def value(node: ast.AST):
     match node:
         case ast.Expression(body=body):
             return value(body)
-        case ast.Constant(value=bool() | str() | bytes() | None):
+        case ast.Constant(value=str() | bytes() | None) | ast.Constant(value=_Ellipsis()):
             raise ValueError("unsupported constant")
         case ast.Constant(value=v):
             return v
@@ -43,8 +48,10 @@ def value(node: ast.AST):
             return power(value(a), value(b))
         case ast.BinOp(left=a, op=op, right=b) if type(op) in BINARY:
             return BINARY[type(op)](value(a), value(b))
-        case ast.List(elts=items) | ast.Tuple(elts=items):
+        case ast.List(elts=items):
             return [value(x) for x in items]
+        case ast.Tuple(elts=items):
+            return tuple(value(x) for x in items)
         case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in FUNCTIONS:
             given = [value(x) for x in args]
             if name == "pow":
@@ -58,7 +65,9 @@ def value(node: ast.AST):
 def calculate(text: str | None) -> str:
     """The result as text, or what is wrong with it."""
     try:
-        made = value(ast.parse((text or "").strip().replace("^", "**"), mode="eval"))
+        if not (text or "").strip():
+            return "No expression provided."
+        made = value(ast.parse((text or "").strip(), mode="eval"))
         if isinstance(made, complex) and cmath.isclose(made.imag, 0, abs_tol=1e-300):
             made = made.real
         return str(made)

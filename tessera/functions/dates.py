@@ -65,3 +65,24 @@ def operation(request: Column) -> Column:
     for name in ("add", "overlap", "order", "diff"):
         out = F.when(t.startswith(name), F.lit(name)).otherwise(out)
     return out
+
+
+def answer(request: Column) -> Column:
+    """The reply to ``diff a, b``, ``add date, n unit``, ``overlap a - b, c - d`` of
+    years and ``order name: date; ...``; null if it can't be read."""
+    rest = F.regexp_replace(F.ltrim(request), r"(?i)^(?:diff|order|overlap|add)[:\s]*", "")
+    parts = F.split(rest, r"\s*,\s*(?=\S)", 2)
+    a, b = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
+    days, years, months, left = diff(parse(a), parse(b))
+    differs = F.concat(days, F.lit(" days ("), years, F.lit(" years, "), months, F.lit(" months, "), left, F.lit(" days)"))
+    n = F.regexp_extract(b, r"^\s*([+-]?\d+)\s*([a-z]+?)s?\s*$", 1).try_cast("int")
+    unit = F.regexp_extract(b, r"^\s*([+-]?\d+)\s*([a-z]+?)s?\s*$", 2)
+    added = F.date_format(add(parse(a), n, unit), "yyyy-MM-dd")
+    span = lambda x, k: parse(F.regexp_extract(x, r"^\s*(\d{4})\s*-\s*(\d{4})\s*$", k))
+    meets, long = overlap(span(a, 1), span(a, 2), span(b, 1), span(b, 2))
+    overlaps = F.when(meets, F.concat(F.lit("overlap of "), long, F.lit(" days"))).when(~meets, F.concat(F.lit("no overlap, gap of "), long, F.lit(" days")))
+    named = F.transform(F.split(rest, r"\s*;\s*"), lambda x, i: F.struct(parse(F.element_at(F.split(x, ":\\s*", 2), -1)).alias("d"), i.alias("i"), x.alias("x")))
+    inorder = F.array_sort(F.filter(named, lambda x: x["d"].isNotNull()))
+    listed = F.nullif(F.array_join(F.transform(inorder, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x["x"])), "\n"), F.lit(""))
+    kind = operation(request)
+    return F.when(kind == "diff", differs).when(kind == "add", added).when(kind == "overlap", overlaps).when(kind == "order", listed)

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import functools
+import html as html_
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Elements dropped whole before a page's text is taken.
 DROPPED = ("script", "style", "nav", "header", "footer", "aside")
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 
 def strip(text: Column) -> Column:
@@ -18,6 +20,12 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+@F.pandas_udf(StringType())
+def unescaped(texts: pd.Series) -> pd.Series:
+    """Character references decoded, all that the standard names."""
+    return texts.map(lambda x: x if x is None or "&" not in x else html_.unescape(x))
+
+
 def page_text(html: Column) -> Column:
     """Lines of a page's text, without the dropped elements and empty lines."""
     t = html
@@ -25,9 +33,7 @@ def page_text(html: Column) -> Column:
         t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
     t = F.regexp_replace(t, r"(?s)<!--.*?-->", "")
     t = F.regexp_replace(t, r"<[^>]+>", "\n")
-    for name, char in ENTITIES:
-        t = F.replace(t, F.lit(name), F.lit(char))
-    lines = F.transform(F.split(t, "\n"), strip)
+    lines = F.transform(F.split(unescaped(t), "\n"), strip)
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
@@ -86,12 +92,23 @@ def numbered(items: Column, most: int = 10) -> Column:
     return F.array_join(F.transform(F.slice(items, 1, most), line), "\n")
 
 
+def fact_group(name: Column, value: Column, order: Column) -> Column:
+    """An aggregate: the fact lines of a group, in order."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), fact_line(name, value).alias("line")))), lambda x: x["line"]), "\n")
+
+
+def source_blocks(chunks: Column) -> Column:
+    """Numbered source blocks of an array of (id, domain, entities, summary)."""
+    block = lambda c, i: F.concat(F.lit("\n--- Source "), (i + 1).cast("string"), F.lit(" (ID: "), c["id"].cast("string"), F.lit(") ---\nDomain: "), F.coalesce(c["domain"], F.lit("")), F.lit("\nEntities: "), F.array_join(c["entities"], ", "), F.lit("\nContent: "), c["summary"], F.lit("\n"))
+    return F.array_join(F.transform(chunks, block), "")
+
+
 def fact_line(name: Column, value: Column) -> Column:
     return F.concat(F.lit("- ["), name, F.lit("]: "), value)
 
 
 def prompt(template: str, **values: Column) -> Column:
-    """``{name}`` replaced by a column, ``{{`` and ``}}`` by single braces."""
+    """A contract pattern: ``{name}`` replaced by a column, ``{{`` and ``}}`` by single braces."""
     parts: list[Column] = []
     for piece in re.split(r"(\{\{|\}\}|\{\w+\})", template):
         if piece in ("{{", "}}"):
@@ -122,6 +139,23 @@ def kb_search(df: DataFrame, query: str, columns: list[str], seq: str, most: int
     return df.withColumn("score", kb_score(query, text)).filter("score > 0").orderBy(F.desc("score"), seq).limit(most)
 
 
+def comparison_grid(request: Column) -> Column:
+    """{entities, attributes, comparison, summary} as JSON to a grid: a row for each
+    attribute, N/A for gaps, a rule below the head, the summary last. JSON without
+    entities or attributes stays as it is; no JSON gives the text's first 3000
+    characters."""
+    shape = "entities array<string>, attributes array<string>, comparison map<string,map<string,string>>, summary string"
+    said = braced(request)
+    x = F.from_json(said, shape)
+    cells = lambda a: F.array_join(F.transform(x["entities"], lambda e: comparison(F.try_element_at(F.try_element_at(x["comparison"], e), a))), "")
+    head = F.concat(F.rpad(F.lit("Attribute"), 25, " "), F.array_join(F.transform(x["entities"], lambda e: comparison(e)), ""))
+    lines = F.transform(x["attributes"], lambda a: F.concat(comparison(a), cells(a)))
+    summary = F.when(F.coalesce(x["summary"], F.lit("")) != "", F.concat(F.lit("\n\nSummary: "), x["summary"])).otherwise("")
+    grid = F.concat(head, F.lit("\n"), F.repeat(F.lit("-"), F.length(head)), F.lit("\n"), F.array_join(lines, "\n"), summary)
+    whole = (F.size(x["entities"]) > 0) & (F.size(x["attributes"]) > 0)
+    return F.when(whole, grid).when(x.isNotNull() & F.get_json_object(said, "$").isNotNull(), said).otherwise(F.substring(request, 1, 3000))
+
+
 def comparison(cell: Column, width: int = 25) -> Column:
     """A left-aligned cell; longer text is not cut."""
     text = F.coalesce(cell, F.lit("N/A"))

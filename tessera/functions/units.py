@@ -19,7 +19,8 @@ FACTORS = {
 TEMPERATURES = {"c": "c", "celsius": "c", "°c": "c", "f": "f", "fahrenheit": "f", "°f": "f", "k": "k", "kelvin": "k", "r": "r", "rankine": "r"}
 # End of fixed values.
 
-REQUEST = r"(?i)^\s*([-+]?[0-9]*\.?[0-9]+(?:e[-+]?[0-9]+)?)\s*(\S+)\s+(?:to|in|->|=>)\s+(\S+)\s*$"
+#: Fixed pattern of a request; what stands behind it doesn't count.
+REQUEST = r"(?i)^\s*([\d.e+\-]+)\s+(\S+)\s+(?:to|in|->|=>)\s+(\S+)"
 
 
 def table(spark: SparkSession) -> DataFrame:

@@ -4,16 +4,16 @@ import pytest
 
 from tessera.functions import calc, sandbox, tables
 from tessera.operators import kg, sampling, similarity
-from tessera.plans import providers
+from tessera.plans import providers, tools
 
 
-@pytest.mark.parametrize(("text", "want"), [("sqrt(144) + log10(100)", "14.0"), ("-7 // 4", "-2"), ("7 % -3", "-2"), ("max([1, 5], 2)", None), ("factorial(5)", "120"), ("2^3", "8")])
+@pytest.mark.parametrize(("text", "want"), [("sqrt(144) + log10(100)", "14.0"), ("-7 // 4", "-2"), ("7 % -3", "-2"), ("max([1, 5], 2)", None), ("factorial(5)", "120"), ("2^3", None), ("(1, 2)", "(1, 2)"), ("[1, 2]", "[1, 2]"), ("True + 1", "2"), ("max((1, 5))", "5")])
 def test_calculate(text, want):
     got = calc.calculate(text)
     assert got == want if want else got.startswith("Calculation error")
 
 
-@pytest.mark.parametrize("text", ["__import__('os')", "(lambda: 1)()", "a.b", "9**9**9", "'x'*9", "", None])
+@pytest.mark.parametrize("text", ["__import__('os')", "(lambda: 1)()", "a.b", "9**9**9", "'x'*9", "...", "None"])
 def test_calculate_refuses(text):
     assert calc.calculate(text).startswith("Calculation error")
 
@@ -42,11 +42,15 @@ def test_registry_and_retries():
             raise ValueError("no")
         return x.upper()
 
-    r = providers.Registry()
-    r.register("Search", "finds", providers.Provider(flaky))
-    assert r.get("SEARCH").call("a") == ("A", None)
+    assert providers.Provider(flaky).call("a") == ("A", None)
+    r = tools.Registry([tools.Tool("search", "finds", lambda c: c), tools.Tool("visit", "reads", lambda c: c)])
+    assert r.get("SEARCH").name == "search" and r.enabled(None).tools == r.tools
     assert providers.Provider(lambda x: 1 / 0).call("a")[1].startswith("ZeroDivisionError")
-    assert r.descriptions() == "- search: finds"
+    assert r.enabled(["search"]).descriptions() == "- search: finds"
+    assert r.descriptions().splitlines()[1] == "- visit: reads"
+    assert providers.parameters("judge")["max_tokens"] == 1000 and providers.parameters("nobody") == {}
+    assert tools.tool_defaults("search", {"max_results": 3}) == {"max_results": 3}
+    assert tools.settings({"a": ["${KEY}-x", 1], "b": "${NONE}"}, {"KEY": "k"}) == {"a": ["k-x", 1], "b": ""}
     with pytest.raises(ValueError, match="unknown tool"):
         r.get("none")
 
