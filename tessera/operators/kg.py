@@ -63,17 +63,28 @@ def induced(relations: DataFrame, ids: DataFrame) -> DataFrame:
     return relations.join(ids.select(F.col("id").alias("source_id")), "source_id", "left_semi").join(ids.select(F.col("id").alias("target_id")), "target_id", "left_semi")
 
 
+def adjacency(e: DataFrame) -> DataFrame:
+    """(node, degree, place, neighbour): every node's neighbours in order, counted
+    with repeats and numbered from 0. A hub is many rows, none of them long."""
+    w = Window.partitionBy("node")
+    return both_ways(e).select("node", F.count("*").over(w).alias("degree"), (F.row_number().over(w.orderBy("neighbour")) - 1).alias("place"), "neighbour")
+
+
 def random_walk(e: DataFrame, starts: DataFrame, steps: int, seed: str) -> DataFrame:
     """(walk, step, node): at each step the neighbour whose place among the sorted
     neighbours, counted with repeats, is the hashed number modulo their count. A
-    walk at an isolated node ends. starts: (walk, node)."""
-    around = both_ways(e).groupBy("node").agg(F.array_sort(F.collect_list("neighbour")).alias("around"))
-    at = starts.select("walk", "node", F.array("node").alias("path"))
+    walk at an isolated node ends. starts: (walk, node). A step joins degrees by
+    node and neighbours by (node, place), so walks on a hub are spread."""
+    scratch = Scratch(e.sparkSession, "walk")
+    around = scratch.keep(adjacency(e))
+    degrees = around.filter("place = 0").select("node", "degree")
+    at = starts.select("walk", F.lit(0).alias("step"), "node")
+    out = at
     for s in range(1, steps + 1):
-        pick = (number(seed, F.col("walk"), F.lit(s)) % F.size("around") + 1).cast("int")
-        go = at.join(around, "node", "left").select("walk", F.when(F.col("around").isNotNull(), F.element_at("around", pick)).alias("node"), "path")
-        at = go.select("walk", "node", F.when(F.col("node").isNull(), F.col("path")).otherwise(F.concat("path", F.array("node"))).alias("path"))
-    return at.select("walk", F.posexplode("path").alias("step", "node"))
+        here = at.join(degrees, "node").select("walk", "node", (number(seed, F.col("walk"), F.lit(s)) % F.col("degree")).cast("int").alias("place"))
+        at = scratch.keep(here.join(around.drop("degree"), ["node", "place"]).select("walk", F.lit(s).alias("step"), F.col("neighbour").alias("node")))
+        out = out.unionByName(at)
+    return out
 
 
 def first_visits(walks: DataFrame, most: int) -> DataFrame:
@@ -97,16 +108,24 @@ def walk_sample(e: DataFrame, nodes: DataFrame, starts: DataFrame, least: int, m
 
 
 def bridging_sample(e: DataFrame, nodes: DataFrame, samples: int, seeds: int, each: int, seed: str) -> DataFrame:
-    """(sample, pos, node): per sample some hashed seeds, each with the first of
-    its two-hop neighbourhood by id, repeats dropped."""
-    order = [digest(seed, F.col("sample"), F.col("node")), F.col("node")]
-    drawn = nodes.select("node").crossJoin(F.broadcast(nodes.sparkSession.range(samples).select(F.col("id").alias("sample"))))  # a few samples
-    drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("sample").orderBy(*order))).filter(F.col("place") <= seeds)
+    """(sample, pos, node): per sample some seeds, each with the first of its two-hop
+    neighbourhood by id, repeats dropped. Seeds are dealt from one hashed order of
+    the nodes, from its start again when it ends; fewer nodes than seeds are an
+    error. Only the samples' own seeds are numbered in one place."""
+    order = F.row_number().over(Window.orderBy(digest(seed, F.col("node")), "node")) - 1
+    first = nodes.select("node").distinct().orderBy(digest(seed, F.col("node")), "node").limit(samples * seeds).withColumn("turn", order)
+    first = Scratch(nodes.sparkSession, "bridge").keep(first)
+    n = first.count()
+    if n < seeds:
+        raise ValueError(f"{n} nodes are too few for {seeds} seeds")
+    wanted = nodes.sparkSession.range(samples).select(F.col("id").alias("sample"), F.explode(F.sequence(F.lit(1), F.lit(seeds))).alias("place"))
+    wanted = wanted.withColumn("turn", ((F.col("sample") * seeds + F.col("place") - 1) % n).cast("int"))
+    drawn = wanted.join(first, "turn").select("sample", "place", "node")
     around = neighbours(e, drawn.select("node").distinct(), 2).select(F.col("start").alias("node"), F.col("node").alias("other"))
     near = drawn.join(around, "node").withColumn("k", F.row_number().over(Window.partitionBy("sample", "node").orderBy("other"))).filter(F.col("k") < each)
     rows = drawn.select("sample", "place", F.lit(0).alias("k"), "node").unionByName(near.select("sample", "place", "k", F.col("other").alias("node")))
-    first = rows.groupBy("sample", "node").agg(F.min(F.struct("place", "k")).alias("at"))
-    return first.select("sample", F.row_number().over(Window.partitionBy("sample").orderBy("at")).alias("pos"), "node")
+    seen = rows.groupBy("sample", "node").agg(F.min(F.struct("place", "k")).alias("at"))
+    return seen.select("sample", F.row_number().over(Window.partitionBy("sample").orderBy("at")).alias("pos"), "node")
 
 
 def components(nodes: DataFrame, e: DataFrame) -> DataFrame:
@@ -130,35 +149,174 @@ def components(nodes: DataFrame, e: DataFrame) -> DataFrame:
             return labels
 
 
-def distances(e: DataFrame, starts: DataFrame, most: int = 64) -> DataFrame:
-    """(start, node, hops, parent): breadth-first from every start (node), with the
-    smallest parent on a shortest path; stops when a frontier is empty."""
+def distances(e: DataFrame, starts: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """(start, node, hops, parent): breadth-first from every start (node, or several
+    nodes under one start), with the smallest parent on a shortest path. Goes on
+    until a frontier is empty or, if there are targets (start, node), all that can
+    still be reached have been."""
     scratch = Scratch(e.sparkSession, "distances")
     und = scratch.keep(undirected(e))
-    seen = scratch.keep(starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("parent")))
-    frontier = seen
-    for h in range(1, most + 1):
+    if "start" not in starts.columns:
+        starts = starts.select(F.col("node").alias("start"), "node")
+    seen = scratch.keep(starts.select("start", "node").distinct().select("start", "node", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("parent")))
+    frontier, hops = seen, 0
+    while not frontier.isEmpty():
+        if targets is not None:
+            open_ = targets.join(seen, ["start", "node"], "left_anti").select("start").distinct()
+            if open_.isEmpty():
+                break
+            frontier = frontier.join(open_, "start", "left_semi")
+        hops += 1
         reached = frontier.select("start", "node").join(und, "node").groupBy("start", F.col("neighbour").alias("found")).agg(F.min("node").alias("parent"))
         new = reached.withColumnRenamed("found", "node").join(seen.select("start", "node"), ["start", "node"], "left_anti")
-        frontier = scratch.keep(new.select("start", "node", F.lit(h).alias("hops"), "parent"))
-        if frontier.isEmpty():
-            break
+        frontier = scratch.keep(new.select("start", "node", F.lit(hops).alias("hops"), "parent"))
         seen = scratch.keep(seen.unionByName(frontier))
     return seen
 
 
 def paths(found: DataFrame, targets: DataFrame) -> DataFrame:
-    """(start, target, hops, node): the nodes of one shortest path from start to
-    each target (start, target), walked back over parents."""
+    """(start, target, hops, step, node): the nodes of one shortest path from start
+    to each target (start, target), walked back over parents from step 0; each
+    round is written."""
+    scratch = Scratch(found.sparkSession, "paths")
     at = targets.join(found.select("start", F.col("node").alias("target"), "hops", "parent"), ["start", "target"])
-    out = at.select("start", "target", "hops", F.col("target").alias("node"))
-    step = at.select("start", "target", F.col("parent").alias("node"))
-    longest = at.agg(F.max("hops")).first()[0] or 0
-    for _ in range(longest):
-        here = step.filter("node is not null").join(found, ["start", "node"])
-        out = out.unionByName(here.select("start", "target", "hops", "node"))
-        step = here.select("start", "target", F.col("parent").alias("node"))
-    return out
+    out = scratch.keep(at.select("start", "target", "hops", F.lit(0).alias("step"), F.col("target").alias("node"), "parent"))
+    step, k = out, 0
+    while not (back := step.filter("parent is not null")).isEmpty():
+        k += 1
+        here = back.select("start", "target", F.col("hops").alias("whole"), F.col("parent").alias("node")).join(found, ["start", "node"])
+        step = scratch.keep(here.select("start", "target", F.col("whole").alias("hops"), F.lit(k).alias("step"), "node", "parent"))
+        out = out.unionByName(step)
+    return out.drop("parent")
+
+
+def ensure_connected(e: DataFrame, members: DataFrame, probes: int = 3) -> DataFrame:
+    """(sample, pos, node, added): samples (sample, pos, node) with the nodes that
+    connect them. Inside a sample the largest connected part (of the smallest node,
+    on ties) is the anchor; from ``probes`` of its nodes the shortest way to
+    ``probes`` of each other part's nodes is found and its nodes are added, larger
+    parts first. Parts that can't be reached stay as they are."""
+    scratch = Scratch(e.sparkSession, "connect")
+    members = scratch.keep(members.select("sample", "pos", "node"))
+    key = lambda c: F.concat_ws("\x01", F.col("sample").cast("string"), c)
+    a, b = members.select("sample", F.col("node").alias("src")), members.select("sample", F.col("node").alias("dst"))
+    inside = undirected(e).toDF("src", "dst").join(a, "src").join(b, ["sample", "dst"])
+    parts = components(members.select(key("node").alias("node")), inside.select(key("src").alias("src"), key("dst").alias("dst")))
+    labelled = members.withColumn("k", key("node")).join(parts.withColumnRenamed("node", "k"), "k").drop("k")
+    sizes = labelled.groupBy("sample", "component").agg(F.count("*").alias("size"))
+    order = Window.partitionBy("sample").orderBy(F.desc("size"), "component")
+    ranked = sizes.withColumn("part", F.row_number().over(order)).select("sample", "component", "part")
+    probe = Window.partitionBy("sample", "part").orderBy("node")
+    probed = scratch.keep(labelled.join(ranked, ["sample", "component"]).withColumn("probe", F.row_number().over(probe)).filter(F.col("probe") <= probes).select("sample", "part", "node"))
+    asked = probed.filter("part > 1").select(F.col("sample").alias("start"), "node")
+    roots = probed.filter("part = 1").select(F.col("sample").alias("start"), "node").join(asked.select("start").distinct(), "start", "left_semi")
+    found = distances(e, roots, asked)
+    near = probed.filter("part > 1").join(found.select(F.col("start").alias("sample"), "node", "hops"), ["sample", "node"])
+    best = near.groupBy("sample", "part").agg(F.min(F.struct("hops", "node")).alias("best"))
+    goals = scratch.keep(best.select("sample", "part", F.col("best.node").alias("target")))
+    walked = paths(found, goals.select(F.col("sample").alias("start"), "target"))
+    between = walked.filter("step > 0 and step < hops").withColumnRenamed("start", "sample").join(goals, ["sample", "target"])
+    new = between.join(members.select("sample", "node"), ["sample", "node"], "left_anti").groupBy("sample", "node").agg(F.min(F.struct("part", F.negative("step").alias("step"))).alias("at"))
+    size = members.groupBy("sample").agg(F.max("pos").alias("last"))
+    place = F.row_number().over(Window.partitionBy("sample").orderBy("at", "node"))
+    more = new.join(size, "sample").select("sample", (F.col("last") + place).cast("int").alias("pos"), "node", F.lit(True).alias("added"))
+    return members.select("sample", F.col("pos").cast("int").alias("pos"), "node", F.lit(False).alias("added")).unionByName(more)
+
+
+def connectors(e: DataFrame, existing: DataFrame, new: DataFrame) -> DataFrame:
+    """(sample, node): what must be added so that new nodes (sample, pos, node) hang
+    on the existing ones (sample, node). Taken in order of pos: a new node with an
+    edge to a node that is there, or has been added, needs nothing; otherwise the
+    nodes between it and the smallest existing one on a shortest path are added."""
+    scratch = Scratch(e.sparkSession, "connectors")
+    und = scratch.keep(undirected(e))
+    have = scratch.keep(existing.select("sample", "node").distinct())
+    new = scratch.keep(new.select("sample", "pos", "node"))
+    roots = have.join(und.select("node").distinct(), "node", "left_semi").groupBy("sample").agg(F.min("node").alias("node"))
+    found = distances(e, roots.select(F.col("sample").alias("start"), "node"), new.select(F.col("sample").alias("start"), "node"))
+    walked = scratch.keep(paths(found, new.select(F.col("sample").alias("start"), F.col("node").alias("target")).distinct()))
+    added = None
+    for k in sorted(r.pos for r in new.select("pos").distinct().collect()):
+        mine = new.filter(F.col("pos") == k)
+        near = mine.join(und, "node").join(have.withColumnRenamed("node", "neighbour"), ["sample", "neighbour"], "left_semi").select("sample", "node")
+        far = mine.join(near, ["sample", "node"], "left_anti").select(F.col("sample").alias("start"), F.col("node").alias("target"))
+        between = walked.filter("step > 0 and step < hops").join(far, ["start", "target"], "left_semi").select(F.col("start").alias("sample"), "node").distinct()
+        between = scratch.keep(between.join(have, ["sample", "node"], "left_anti").join(new.select("sample", "node"), ["sample", "node"], "left_anti"))
+        have = scratch.keep(have.unionByName(between))
+        added = between if added is None else added.unionByName(between)
+    return new.select("sample", "node").limit(0) if added is None else added
+
+
+def get_entity(entities: DataFrame, ids: DataFrame) -> DataFrame:
+    """The entities of ids (id); an id that isn't there is an error."""
+    missing = ids.join(entities.select("id"), "id", "left_anti").limit(1).collect()
+    if missing:
+        raise KeyError(missing[0].id)
+    return entities.join(ids.select("id").distinct(), "id", "left_semi")
+
+
+def terms(entities: DataFrame) -> DataFrame:
+    """(id, term): the key terms of entities, or the words of name and value where
+    they have none."""
+    said = F.split(F.lower(F.concat_ws(" ", "name", "value")), r"[^a-z0-9]+")
+    if "key_terms" in entities.columns:
+        said = F.when(F.size("key_terms") > 0, F.transform("key_terms", F.lower)).otherwise(said)
+    return entities.select("id", F.explode(F.array_distinct(F.filter(said, lambda x: F.length(x) > 2))).alias("term"))
+
+
+def suggest_edges(members: DataFrame, entities: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
+    """(first, second, source_id, target_id, relation_type, evidence): the offline edge
+    suggester. members: (part, id); pairs: (first, second) of parts. Entities of the
+    two parts that share a term are same_topic; per pair the ``most`` with the most
+    shared terms, then by ids. Parts meet by term, never entity by entity."""
+    said = members.join(terms(entities), "id")
+    left = said.toDF("source_id", "first", "term").join(pairs, "first")
+    met = left.join(said.toDF("target_id", "second", "term"), ["second", "term"])
+    shared = met.groupBy("first", "second", "source_id", "target_id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("term")), ", ").alias("terms"))
+    place = F.row_number().over(Window.partitionBy("first", "second").orderBy(F.desc("n"), "source_id", "target_id"))
+    kept = shared.withColumn("place", place).filter(F.col("place") <= most)
+    return kept.select("first", "second", "source_id", "target_id", F.lit("same_topic").alias("relation_type"), F.concat(F.lit("Shared terms: "), "terms").alias("evidence"))
+
+
+def representatives(labels: DataFrame, e: DataFrame, top: int, seed: str) -> DataFrame:
+    """(component, node, kind): each component's nodes of greatest degree, and one
+    of the rest in hashed order."""
+    from .sampling import sample_k
+
+    place = F.row_number().over(Window.partitionBy("component").orderBy(F.desc("degree"), "node"))
+    ranked = labels.join(degree(e), "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("place", place)
+    tail = sample_k(ranked.filter(F.col("place") > top), "node", 1, seed, ["component"])
+    return ranked.filter(F.col("place") <= top).select("component", "node", F.lit("top").alias("kind")).unionByName(tail.select("component", "node", F.lit("tail").alias("kind")))
+
+
+def stitch(entities: DataFrame, relations: DataFrame, top: int = 5, most: int = 4, seed: str = "reps") -> DataFrame:
+    """(source_id, target_id, relation_type, evidence): edges between the graph's
+    components, at most ``most`` for each two, the larger component first, among
+    their representatives."""
+    scratch = Scratch(entities.sparkSession, "stitch")
+    e = scratch.keep(edges(relations))
+    nodes = entities.select(F.col("id").alias("node")).union(e.select("src")).union(e.select("dst"))
+    labels = scratch.keep(components(nodes, e))
+    reps = scratch.keep(representatives(labels, e, top, seed))
+    ranked = scratch.keep(ordered_components(labels))
+    pairs = all_pairs(ranked, "component", "place").toDF("first", "second")
+    return suggest_edges(reps.select(F.col("node").alias("id"), F.col("component").alias("part")), entities, pairs, most).drop("first", "second")
+
+
+def ordered_components(labels: DataFrame) -> DataFrame:
+    """(component, size, place): by size, then by name."""
+    from .sampling import ranked
+
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+    return ranked(sizes, [F.desc("size"), F.col("component")], "place")
+
+
+def all_pairs(ranked: DataFrame, item: str, place: str) -> DataFrame:
+    """(item, other) for all places i < j, numbered from 1 without gaps: each row
+    makes its later places and meets them by an equi-join."""
+    n = ranked.agg(F.max(place)).first()[0] or 0
+    later = ranked.filter(F.col(place) < n).select(F.col(item).alias("first"), F.explode(F.sequence(F.col(place) + 1, F.lit(n).cast("long"))).alias("j"))
+    return later.join(ranked.select(F.col(place).alias("j"), F.col(item).alias("second")), "j").select("first", "second")
 
 
 def modularity(e: DataFrame, partition: DataFrame) -> DataFrame:
@@ -173,17 +331,66 @@ def modularity(e: DataFrame, partition: DataFrame) -> DataFrame:
     return per.agg(F.round(F.sum(part), 6).alias("modularity"), F.sum(F.coalesce("inner", F.lit(0))).alias("inner_edges"), F.max("m").alias("n_edges"))
 
 
-def communities(e: DataFrame, rounds: int = 5) -> DataFrame:
-    """(node, community) by label propagation: each node takes the commonest label
-    around it, the smallest on ties, for a fixed number of rounds."""
+def moves(und: DataFrame, labels: DataFrame, parity: int) -> DataFrame:
+    """(node, community) after one round of modularity moves. und: (node, neighbour,
+    w) in both directions, self-loops once with both ends' weight; labels: (node,
+    community). Every other node, by its hash, may move, so that no two swap."""
+    m2 = und.agg(F.sum("w")).first()[0]
+    weight = und.groupBy("node").agg(F.sum("w").alias("k"))
+    known = weight.join(labels, "node")
+    totals = known.groupBy("community").agg(F.sum("k").alias("total"))
+    toward = und.filter("node <> neighbour").join(labels.toDF("neighbour", "community"), "neighbour").groupBy("node", "community").agg(F.sum("w").alias("w"))
+    here = known.select("node", "community", F.lit(0.0).alias("w"))
+    offers = toward.unionByName(here).groupBy("node", "community").agg(F.sum("w").alias("w")).join(known.select("node", "k", F.col("community").alias("own")), "node").join(totals, "community")
+    mine = F.col("community") == F.col("own")
+    gain = F.round(F.col("w") - F.col("k") * (F.col("total") - F.when(mine, F.col("k")).otherwise(0.0)) / m2, 9)
+    best = offers.groupBy("node").agg(F.max_by("community", F.struct(gain.alias("gain"), mine.cast("int").alias("mine"), F.negative(F.xxhash64("community")).alias("h"))).alias("best"), F.min("own").alias("own"))
+    turn = F.pmod(F.xxhash64("node"), F.lit(2)) == parity
+    return best.select("node", F.when(turn, F.col("best")).otherwise(F.col("own")).alias("community"))
+
+
+def communities(e: DataFrame, least_gain: float = 1e-4) -> DataFrame:
+    """(node, community) by modularity, in levels: nodes move to the neighbouring
+    community of greatest gain until a round of both halves gains less than
+    ``least_gain``, then communities become nodes, until that gains nothing. A
+    community is named by its smallest node. Every round is written."""
     scratch = Scratch(e.sparkSession, "communities")
-    und = scratch.keep(undirected(e))
-    labels = scratch.keep(und.select("node").distinct().withColumn("community", F.col("node")))
-    for _ in range(rounds):
-        votes = und.join(labels.toDF("neighbour", "label"), "neighbour").groupBy("node", "label").agg(F.count("*").alias("n"))
-        best = votes.groupBy("node").agg(F.min_by("label", F.struct(F.negative("n"), "label")).alias("community"))
-        labels = scratch.keep(best)
-    return labels
+    simple = scratch.keep(undirected(e).filter("node <> neighbour").withColumn("w", F.lit(1.0)))
+    names = scratch.keep(both_ways(e).select("node").distinct().withColumn("community", F.col("node")))
+    if simple.isEmpty():
+        return names
+    und, best = simple, quality(simple, names)
+    while True:
+        labels = scratch.keep(und.select("node").distinct().withColumn("community", F.col("node")))
+        level = quality(und, labels)
+        while True:
+            moved = labels
+            for parity in (0, 1):
+                moved = scratch.keep(moves(und, moved, parity))
+            now = quality(und, moved)
+            if now > level:
+                labels = moved
+            if now - level < least_gain:
+                break
+            level = now
+        level = max(level, now)
+        if level - best < least_gain:
+            return names
+        best = level
+        low = names.join(labels.toDF("community", "next"), "community").select("node", F.col("next").alias("community"))
+        first = low.groupBy("community").agg(F.min("node").alias("first"))
+        names = scratch.keep(low.join(first, "community").select("node", F.col("first").alias("community")))
+        renamed = labels.join(first, "community").select("node", F.col("first").alias("community"))
+        a, b = renamed.toDF("node", "a"), renamed.toDF("neighbour", "b")
+        und = scratch.keep(und.join(a, "node").join(b, "neighbour").groupBy(F.col("a").alias("node"), F.col("b").alias("neighbour")).agg(F.sum("w").alias("w")))
+
+
+def quality(und: DataFrame, labels: DataFrame) -> float:
+    """Modularity of labels over weighted edges in both directions."""
+    ends = und.join(labels.toDF("node", "a"), "node").join(labels.toDF("neighbour", "b"), "neighbour")
+    per = ends.groupBy("a").agg(F.sum("w").alias("k"), F.sum(F.when(F.col("a") == F.col("b"), F.col("w")).otherwise(0.0)).alias("inside"))
+    row = per.agg(F.sum("k").alias("m2"), F.sum("inside").alias("inside"), F.sum(F.col("k") * F.col("k")).alias("square")).first()
+    return row.inside / row.m2 - row.square / row.m2 / row.m2
 
 
 def merge(entities: DataFrame, relations: DataFrame, new_entities: DataFrame, new_relations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -202,8 +409,8 @@ def merge(entities: DataFrame, relations: DataFrame, new_entities: DataFrame, ne
 
 def resolve_names(names: DataFrame, entities: DataFrame) -> DataFrame:
     """(name, id): whatever the case; the first entity of a name wins; misses go."""
-    first = entities.groupBy(F.lower("name").alias("k")).agg(F.min_by("id", "seq").alias("id"))
-    return names.join(first, F.lower("name") == F.col("k")).select(names["*"], "id")
+    first = entities.groupBy(F.lower("name").alias("_k")).agg(F.min_by("id", "seq").alias("id"))
+    return names.withColumn("_k", F.lower("name")).join(first, "_k").select(*names.columns, "id")
 
 
 def resolve_edges(named: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -214,22 +421,56 @@ def resolve_edges(named: DataFrame, left: DataFrame, right: DataFrame) -> DataFr
     return named.join(a, "source_name").join(b, "target_name")
 
 
-def group_pairs(members: DataFrame, group: str, pos: str, node: str) -> DataFrame:
-    """All pairs i < j inside a lookup's group, which has a capped number of facts."""
-    a = members.select(group, F.col(pos).alias("i"), F.col(node).alias("a"))
-    b = members.select(group, F.col(pos).alias("j"), F.col(node).alias("b"))
-    return a.join(b, group).filter("i < j")
+def resolve_name_lists(lists: DataFrame, entities: DataFrame, key: str, names: str) -> DataFrame:
+    """(key, ids): each list of names to ids in the list's order, misses left out."""
+    each = lists.select(key, F.posexplode(names).alias("pos", "name"))
+    found = resolve_names(each, entities)
+    ids = found.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("ids"))
+    return lists.select(key).join(ids, key, "left").select(key, F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
+
+
+def covered(lists: DataFrame, entities: DataFrame, key: str, ids: str) -> DataFrame:
+    """(key, ids): those of each list's ids that are entities, in the list's order."""
+    each = lists.select(key, F.posexplode(ids).alias("pos", "id")).join(entities.select("id"), "id", "left_semi")
+    kept = each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("ids"))
+    return lists.select(key).join(kept, key, "left").select(key, F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
+
+
+def group_pairs(members: DataFrame, group: str, pos: str, node: str, words: str | None = None) -> DataFrame:
+    """All pairs i < j inside a lookup's group, which has a capped number of facts;
+    with the column of their terms, also evidence: shared terms or the lookup."""
+    more = [words] if words else []
+    a = members.select(group, F.col(pos).alias("i"), F.col(node).alias("a"), *[F.col(w).alias("_wa") for w in more])
+    b = members.select(group, F.col(pos).alias("j"), F.col(node).alias("b"), *[F.col(w).alias("_wb") for w in more])
+    pairs = a.join(b, group).filter("i < j")
+    if not words:
+        return pairs
+    shared = F.array_sort(F.array_intersect("_wa", "_wb"))
+    said = F.when(F.size(shared) > 0, F.concat(F.lit("Shared terms: "), F.array_join(shared, ", "))).otherwise(F.concat(F.lit("Same lookup: "), F.col(group).cast("string")))
+    return pairs.withColumn("evidence", said).drop("_wa", "_wb")
 
 
 def describe(members: DataFrame, entities: DataFrame, relations: DataFrame) -> DataFrame:
-    """(sample, description): facts, then relations inside the sample, as lines."""
-    facts = members.join(entities.select(F.col("id").alias("node"), "name", "value"), "node")
-    fact = F.struct("node", F.concat(F.lit("- ["), "name", F.lit("]: "), "value").alias("line"))
-    lines = facts.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list(fact)), lambda x: x["line"]), "\n").alias("facts"))
-    s = members.select("sample", F.col("node").alias("source_id"))
-    t = members.select("sample", F.col("node").alias("target_id"))
+    """(sample, description): atomic facts, then the relations inside the sample with
+    their evidence, by entity names, as lines in order."""
+    source = F.when(F.coalesce("tool_source", F.lit("")) != "", F.concat(F.lit(" [via "), "tool_source", F.lit("]"))).otherwise("") if "tool_source" in entities.columns else F.lit("")
+    known = entities.select(F.col("id").alias("node"), "name", F.concat(F.lit("  - "), "name", F.lit(" ("), "entity_type", F.lit(")"), source, F.lit(": "), F.coalesce("value", F.lit(""))).alias("line"))
+    facts = members.join(known, "node")
+    lines = facts.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "line"))), lambda x: x["line"]), "\n").alias("facts"))
+    s = facts.select("sample", F.col("node").alias("source_id"), F.col("name").alias("source"))
+    t = facts.select("sample", F.col("node").alias("target_id"), F.col("name").alias("target"))
     inside = relations.join(s, "source_id").join(t, ["sample", "target_id"])
-    said = inside.groupBy("sample").agg(
-        F.array_join(F.array_sort(F.collect_list(F.concat("source_id", F.lit(" -"), "relation_type", F.lit("-> "), "target_id"))), "\n").alias("links")
-    )
-    return lines.join(said, "sample", "left").select("sample", F.concat_ws("\n", "facts", "links").alias("description"))
+    proof = F.when(F.coalesce("evidence", F.lit("")) != "", F.concat(F.lit("\n    Evidence: "), "evidence")).otherwise("")
+    link = F.struct("source_id", "target_id", "relation_type", F.concat(F.lit("  - "), "source", F.lit(" --["), "relation_type", F.lit("]--> "), "target", proof).alias("line"))
+    said = inside.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list(link)), lambda x: x["line"]), "\n").alias("links"))
+    text = F.concat(F.lit("Atomic facts:\n"), "facts", F.lit("\n\nRelations:"), F.when(F.col("links").isNotNull(), F.concat(F.lit("\n"), "links")).otherwise(""))
+    return lines.join(said, "sample", "left").select("sample", text.alias("description"))
+
+
+def describe_entities(members: DataFrame, entities: DataFrame) -> DataFrame:
+    """(sample, description): a line for each entity in order of pos, and its key
+    terms below it. members: (sample, pos, node)."""
+    words = F.col("key_terms") if "key_terms" in entities.columns else F.array().cast("array<string>")
+    line = F.concat(F.lit("  \u2022 ["), "name", F.lit("] ("), "entity_type", F.lit("): "), F.coalesce("value", F.lit("")), F.when(F.size(words) > 0, F.concat(F.lit("\n    key terms: "), F.array_join(words, ", "))).otherwise(""))
+    each = members.join(entities.withColumnRenamed("id", "node"), "node").select("sample", F.struct("pos", "node", line.alias("line")).alias("x"))
+    return each.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n").alias("description"))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 
 def digest(seed: str, *keys: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), *[k.cast("string") for k in keys]).cast("binary"))
@@ -45,5 +47,17 @@ def argmax_first(df: DataFrame, by: list[str], size: str, seq: str) -> DataFrame
     return df.groupBy(*by).agg(top).select(*by, F.col("top.s").alias(size), F.negative("top.q").alias(seq), *[F.col(f"top.{c}").alias(c) for c in rest])
 
 
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows numbered from 1 over the whole table: sorted into ranges, numbered inside
+    each, and moved on by the sizes of the ranges before. No task holds all rows."""
+    scratch = Scratch(df.sparkSession, "ranked")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = scratch.keep(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_size"))  # one row for each range
+    before = sizes.select("_range", (F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_place", place).join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_range", "_place", "_before")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
