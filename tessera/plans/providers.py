@@ -2,8 +2,8 @@
 
 A provider maps a request text to a reply text and never raises: an error is a
 column. Calls run once per row in mapInPandas, and callers write the result
-before they read it twice. ``Registry`` names tools; ``cached`` looks replies up
-in a table first and calls only for what is missing.
+before they read it twice. ``cached`` looks replies up in a table first and calls
+only for what is missing; ``react`` lets a model call tools in turns.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,8 +19,18 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cache_key
 
-#: Parameters by role; an unknown role has none.
-ROLES = {"summary": {"temperature": 0.3}, "item_writer": {"temperature": 0.7}, "base_solver": {"temperature": 0.0}, "advanced_solver": {"temperature": 0.0}, "judge": {"temperature": 0.0}}
+#: Parameters by role; an unknown role has none.
+ROLES = {
+    "summary_agent": {"temperature": 0.3, "max_tokens": 2000},
+    "item_writer": {"temperature": 0.7, "max_tokens": 4000},
+    "solver_base": {"temperature": 0.6, "max_tokens": 3000},
+    "solver_advanced": {"temperature": 0.6, "max_tokens": 8000},
+    "judge": {"temperature": 0.1, "max_tokens": 1000},
+}
+
+
+def parameters(role: str) -> dict:
+    return dict(ROLES.get(role, {}))
 
 
 @dataclass(frozen=True)
@@ -65,24 +75,6 @@ def cached(df: DataFrame, cache: DataFrame, provider: Provider, tool: str, reque
     return found.select("cache_key", F.col("payload").alias("reply")).unionByName(fresh.select("cache_key", "reply")), fresh.filter("reply is not null").select(F.lit(tool).alias("tool"), "cache_key", F.col("reply").alias("payload"))
 
 
-@dataclass
-class Registry:
-    """Tools by name, in order of registration."""
-
-    tools: dict[str, tuple[str, Provider]] = field(default_factory=dict)
-
-    def register(self, name: str, description: str, provider: Provider) -> None:
-        self.tools[name.lower()] = (description, provider)
-
-    def get(self, name: str) -> Provider:
-        if name.lower() not in self.tools:
-            raise ValueError(f"unknown tool: {name}")
-        return self.tools[name.lower()][1]
-
-    def descriptions(self) -> str:
-        return "\n".join(f"- {n}: {d}" for n, (d, _) in self.tools.items())
-
-
 def sentences(text: str) -> list[str]:
     return [s.strip() for s in re.split(r"(?<=[.!?])\s+", text) if s.strip()]
 
@@ -109,4 +101,44 @@ def atomise(df: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
     return picked.mapInPandas(run, "id string, pos int, fact string, terms array<string>")
 
 
-OFFLINE = {"summary": Provider(summarise), "search": Provider(lambda q: q), "base_solver": Provider(lambda q: ""), "judge": Provider(lambda q: "strict")}
+
+def react(df: DataFrame, model: Callable[[list[str]], str], tools: dict[str, Callable[[str], str]], key: str, request: str, most_calls: int = 5) -> DataFrame:
+    """(key, answer, steps, error): a bounded loop of turns for each row, inside one map.
+    The model gets the conversation so far; a reply with a tool call is answered with
+    an observation of at most 2000 characters, any other reply is the answer. After
+    ``most_calls`` calls and one more turn the answer stays null. steps: array of
+    (role, content, tool, tool_query, observation)."""
+
+    def one(question: str):
+        talk, steps = [question], []
+        for _ in range(most_calls + 1):
+            reply = model(talk)
+            call = re.search(r"TOOL_CALL:\s*(\w+)\s*\|\s*(.+)", reply)
+            if not call or len(steps) >= most_calls:
+                if not call:
+                    return reply, [*steps, ("assistant", reply, None, None, None)]
+                break
+            name, query = call[1].strip().lower(), call[2].strip()
+            try:
+                seen = str(tools[name](query))[:2000]
+            except Exception as e:
+                seen = f"Tool error: {e}"
+            steps.append(("assistant", reply, name, query, seen[:500]))
+            talk += [reply, f"OBSERVATION: {seen}"]
+        return None, steps
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for k, q in zip(b["key"], b["request"], strict=True):
+                try:
+                    answer, steps = one(q or "")
+                    rows.append((str(k), answer, steps, None))
+                except Exception as e:
+                    rows.append((str(k), None, [], f"{type(e).__name__}: {e}"))
+            names = ("role", "content", "tool", "tool_query", "observation")
+            yield pd.DataFrame([(k, a, [dict(zip(names, s, strict=True)) for s in steps], e) for k, a, steps, e in rows], columns=["key", "answer", "steps", "error"])
+
+    picked = df.select(F.col(key).cast("string").alias("key"), F.col(request).alias("request"))
+    step = "struct<role:string,content:string,tool:string,tool_query:string,observation:string>"
+    return picked.mapInPandas(run, f"key string, answer string, steps array<{step}>, error string").withColumnRenamed("key", key)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, path: str) -> DataFrame:
-    """(path, text): whole text files, stripped, empty ones left out."""
-    read = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), strip(F.col("value")).alias("text"))
-    return read.filter("text <> ''")
+    """(path, text) of the text files of a folder, stripped, empty ones left out; of a
+    single file as it is."""
+    read = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    if path.rstrip("/").endswith(".txt"):
+        return read
+    return read.filter(F.col("path").endswith(".txt")).withColumn("text", strip(F.col("text"))).filter("text <> ''")
 
 
 def documents(spark: SparkSession, path: str, max_chars: int, mark: str = "\n... [truncated]") -> DataFrame:
@@ -45,12 +46,38 @@ def graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return e, r
 
 
-def knowledge_base(spark: SparkSession, json_paths: list[str], csv_paths: list[str]) -> DataFrame:
-    """All records of JSON and CSV files under one set of columns, as text, with
-    their file in _source_file."""
-    read = [spark.read.json(p, multiLine=True).withColumn("_source_file", F.col("_metadata.file_path")) for p in json_paths]
-    read += [spark.read.csv(p, header=True).withColumn("_source_file", F.col("_metadata.file_path")) for p in csv_paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [d.select([F.col(c).cast("string") for c in d.columns]) for d in read])
+def knowledge_base(spark: SparkSession, folder: str) -> DataFrame:
+    """(record, _category, _source_file): every record of the JSON and CSV files below
+    a folder, at any depth, as a map of texts. A JSON file is a list of records or an
+    object of such lists, whose keys are categories; other values and files that
+    can't be read give none."""
+    read = lambda kind: spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{kind}").load(folder).select(F.decode("content", "UTF-8").alias("text"), F.col("path").alias("_source_file"))
+    json = read("json")
+    lists = "array<string>"
+    plain = json.select("_source_file", F.lit(None).cast("string").alias("_category"), F.from_json("text", lists).alias("all")).filter("all is not null")
+    named = json.filter(F.ltrim("text").startswith("{")).select("_source_file", F.explode(F.from_json("text", "map<string,string>")).alias("_category", "list"))
+    named = named.select("_source_file", "_category", F.from_json("list", lists).alias("all")).filter("all is not null")
+    each = plain.unionByName(named).select("_source_file", "_category", F.explode("all").alias("x")).filter(F.ltrim("x").startswith("{"))
+    records = each.select(F.from_json("x", "map<string,string>").alias("record"), "_category", "_source_file")
+    return records.unionByName(csv_records(read("csv")).select("record", F.lit(None).cast("string").alias("_category"), "_source_file"))
+
+
+def csv_records(files: DataFrame) -> DataFrame:
+    """(_source_file, record) of CSV files (_source_file, text) with a head, each file
+    by its own columns."""
+    import csv
+    import io
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            rows = []
+            for name, text in zip(b["_source_file"], b["text"], strict=True):
+                rows += [(name, {k: v for k, v in r.items() if k is not None and isinstance(v, str)}) for r in csv.DictReader(io.StringIO(text))]
+            yield pd.DataFrame(rows, columns=["_source_file", "record"])
+
+    return files.mapInPandas(run, "_source_file string, record map<string,string>")
 
 
 def seeds(df: DataFrame, column: str) -> DataFrame:
@@ -74,6 +101,35 @@ def save_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").json(path)
 
 
+def append_pair(qa: DataFrame, trajectories: DataFrame, folder: str) -> None:
+    """Questions and, where there are any, their trajectories to two JSON-lines
+    folders, behind what they hold."""
+    save_jsonl(qa, f"{folder}/qa", append=True)
+    save_jsonl(trajectories.filter("trajectory is not null"), f"{folder}/trajectories", append=True)
+
+
+def save_bundle(entities: DataFrame, relations: DataFrame, qa: DataFrame, folder: str) -> None:
+    """A viewer bundle: graph and questions as sections of a folder."""
+    replace_graph(entities, relations, folder)
+    qa.write.mode("overwrite").json(f"{folder}/qa_pairs")
+
+
+def replace_graph(entities: DataFrame, relations: DataFrame, folder: str) -> None:
+    """The graph's section of a bundle anew; the questions stay."""
+    entities.write.mode("overwrite").json(f"{folder}/knowledge_graph/entities")
+    relations.write.mode("overwrite").json(f"{folder}/knowledge_graph/relations")
+
+
+def stage(spark: SparkSession, make, folder: str, name: str) -> DataFrame:
+    """A stage's rows: those written before, if it had been written to its end, else
+    what the function ``make`` gives, written."""
+    done = load_stage(spark, folder, name)
+    if done is None:
+        save_stage(make(), folder, name)
+        done = load_stage(spark, folder, name)
+    return done
+
+
 def bundle_upsert(bundle: DataFrame, fresh: DataFrame, key: str = "id") -> DataFrame:
     """Rows are added if their key is absent; present ones stay as they are."""
     return bundle.unionByName(fresh.join(bundle.select(key), key, "left_anti"), allowMissingColumns=True)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def stamped(df: DataFrame, ts: str = "ts", late: str = "1 day") -> DataFrame:
@@ -34,8 +35,10 @@ def first_seen(df: DataFrame, keys: list[str], ts: str = "ts", late: str = "30 d
 
 
 def greedy_into(index_path: str, id_col: str, vector_col: str, threshold: float):
-    """A foreachBatch function that appends to the index at index_path each item
-    that neither the index nor a kept earlier item of the batch is similar to."""
+    """A foreachBatch function that adds to the index at index_path each item that
+    neither an earlier batch nor a kept earlier item of this one is similar to. A
+    batch has a folder of its own, which a replay writes anew, so the index holds it
+    once."""
     from ..operators import similarity
 
     def batch(df: DataFrame, epoch: int) -> None:
@@ -43,10 +46,10 @@ def greedy_into(index_path: str, id_col: str, vector_col: str, threshold: float)
         rows = df.select(id_col, vector_col)
         path = spark._jvm.org.apache.hadoop.fs.Path(index_path)
         if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            index = spark.read.parquet(index_path)
+            index = spark.read.schema(StructType([*rows.schema.fields, StructField("epoch", LongType())])).parquet(index_path).filter(F.col("epoch") < epoch)
             rows = rows.join(similarity.probe(rows, index, id_col, vector_col, threshold).withColumnRenamed("id", id_col), id_col, "left_anti")
         kept = similarity.greedy_keep(rows, id_col, similarity.similar_pairs(rows, id_col, vector_col, threshold))
-        rows.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi").write.mode("append").parquet(index_path)
+        rows.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi").write.mode("overwrite").parquet(f"{index_path}/epoch={epoch}")
 
     return batch
 
