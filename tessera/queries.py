@@ -8,8 +8,8 @@ from pyspark.sql.types import StringType
 
 from .functions import calc, dates, tables, text, units
 from .operators import kg, quality, sampling, similarity, stats
-from .plans import providers, tracks
-from .scratch import ship
+from .plans import escalation, providers, quality_control, tools, tracks
+from .scratch import Scratch, ship
 from .sources import files
 from .streaming import events
 
@@ -63,14 +63,13 @@ def entities(spark, d) -> DataFrame:
     return sampling.union_all([one("region", "r_regionkey", "r_name", "r_name", 0), one("nation", "n_nationkey", "n_name", "n_name", 1000), one("customer", "c_custkey", "c_name", "c_mktsegment", 10**9), one("supplier", "s_suppkey", "s_name", "s_name", 2 * 10**9), one("part", "p_partkey", "p_name", "p_type", 3 * 10**9)])
 
 
-def relations(spark, d, parts: bool = True) -> DataFrame:
-    def one(name, key, to, to_key, kind):
-        return t(spark, d, name).select(F.concat(F.lit(f"{name}:"), F.col(key)).alias("source_id"), F.concat(F.lit(f"{to}:"), F.col(to_key)).alias("target_id"), F.lit(kind).alias("relation_type"))
+def relations(spark, d) -> DataFrame:
+    def one(df, name, key, to, to_key, kind, seq):
+        return df.select(F.concat(F.lit(f"{name}:"), F.col(key)).alias("source_id"), F.concat(F.lit(f"{to}:"), F.col(to_key)).alias("target_id"), F.lit(kind).alias("relation_type"), seq.cast("long").alias("edge_seq"))
 
-    made = [one("nation", "n_nationkey", "region", "n_regionkey", "in_region"), one("customer", "c_custkey", "nation", "c_nationkey", "located_in"), one("supplier", "s_suppkey", "nation", "s_nationkey", "located_in")]
-    if parts:
-        pairs = t(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
-        made.append(pairs.select(F.concat(F.lit("part:"), "l_partkey").alias("source_id"), F.concat(F.lit("supplier:"), "l_suppkey").alias("target_id"), F.lit("supplied_by").alias("relation_type")))
+    made = [one(t(spark, d, name), name, key, to, to_key, kind, F.col(key) + F.lit(base).cast("long")) for name, key, to, to_key, kind, base in (("nation", "n_nationkey", "region", "n_regionkey", "in_region", 0), ("customer", "c_custkey", "nation", "c_nationkey", "located_in", 10**9), ("supplier", "s_suppkey", "nation", "s_nationkey", "located_in", 2 * 10**9))]
+    pairs = t(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    made.append(one(pairs, "part", "l_partkey", "supplier", "l_suppkey", "supplied_by", F.lit(10**13).cast("long") + F.col("l_partkey") * 10**7 + F.col("l_suppkey")))
     return sampling.union_all(made).withColumn("evidence", F.lit("foreign key"))
 
 
@@ -82,7 +81,7 @@ def kg_entities(spark, d):
 
 @query(f"WITH {REL} SELECT s AS source_id, t AS target_id, k AS relation_type FROM rel")
 def kg_relations(spark, d):
-    return relations(spark, d).drop("evidence")
+    return relations(spark, d).drop("evidence", "edge_seq")
 
 
 @query(f"WITH {ENT}, {REL} SELECT (SELECT count(*) FROM ent)::BIGINT AS n_entities, (SELECT count(*) FROM rel)::BIGINT AS n_relations, (SELECT count(DISTINCT (s, t)) FROM rel)::BIGINT AS n_edges")
@@ -95,12 +94,12 @@ def kg_degree(spark, d):
     return kg.degree(kg.edges(relations(spark, d)))
 
 
-@query(f"""WITH {GEO}, {BOTH}, one AS (SELECT DISTINCT a AS start, b AS node FROM und WHERE a IN ('region:1', 'nation:3')),
+@query(f"""WITH {REL}, {BOTH}, one AS (SELECT DISTINCT a AS start, b AS node FROM und WHERE a IN ('region:1', 'nation:3')),
 two AS (SELECT DISTINCT o.start, u.b AS node FROM one o JOIN und u ON u.a = o.node WHERE u.b <> o.start)
 SELECT start, node, CASE WHEN (start, node) IN (SELECT (start, node) FROM one) THEN 1 ELSE 2 END AS hop FROM (SELECT * FROM one UNION SELECT * FROM two)""")
 def kg_neighbours_2hop(spark, d):
     start = values(spark, "('region:1'), ('nation:3')", "node")
-    return kg.neighbours(kg.edges(relations(spark, d, False)), start, 2)
+    return kg.neighbours(kg.edges(relations(spark, d)), start, 2)
 
 
 @query(f"""WITH {REL}, ids AS (SELECT 'supplier:' || s_suppkey AS id FROM supplier WHERE s_nationkey < 5 UNION ALL SELECT 'nation:' || n_nationkey FROM nation WHERE n_nationkey < 8)
@@ -111,87 +110,98 @@ def kg_induced_subgraph(spark, d):
     return kg.induced(relations(spark, d), s.union(n)).select("source_id", "target_id", "relation_type")
 
 
-LOCAL = GEO.replace("""SELECT 'nation:' || n_nationkey AS s, 'region:' || n_regionkey AS t, 'in_region' AS k FROM nation
-  UNION ALL SELECT 'customer:' || c_custkey, 'nation:' || c_nationkey, 'located_in' FROM customer""", "SELECT 'customer:' || c_custkey AS s, 'nation:' || c_nationkey AS t, 'located_in' AS k FROM customer")
-REACH = f"{LOCAL}, {BOTH}, reach(a, b) AS (SELECT a, b FROM und UNION SELECT r.a, u.b FROM reach r JOIN und u ON u.a = r.b), comp AS (SELECT a AS node, least(a, min(b)) AS component FROM reach GROUP BY a)"
-
-
-def _local(spark, d):
-    return kg.edges(relations(spark, d, False).filter("relation_type = 'located_in'"))
+@query(f"""WITH RECURSIVE {REL}, {BOTH}, lab(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM und
+  UNION (SELECT u.a, min(l.component) FROM lab l JOIN und u ON u.b = l.node JOIN recurring.lab now ON now.node = u.a WHERE l.component < now.component GROUP BY u.a)) SELECT node, component FROM lab""")
+def kg_components(spark, d):
+    e = kg.edges(relations(spark, d))
+    return kg.components(e.select(F.col("src").alias("node")).union(e.select("dst")), e)
 
 
-def _components(spark, d):
-    e = _local(spark, d)
-    return e, kg.components(e.select(F.col("src").alias("node")).union(e.select("dst")), e)
+PAIRS = "p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"
+#: The graph of similar embeddings: many components, some of one node.
+NEAR = f"{PAIRS}, und AS (SELECT a, b FROM p WHERE sim >= 0.3 UNION ALL SELECT b, a FROM p WHERE sim >= 0.3), reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, u.b FROM reach r JOIN und u ON u.a = r.b), comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a)"
 
 
-@query(f"WITH RECURSIVE {REACH} SELECT node, component FROM comp")
-def kg_components(spark, d):
-    return _components(spark, d)[1]
+def _near(spark, d):
+    e = Scratch(spark, "near").keep(_pairs(spark, d).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return e, kg.components(t(spark, d, "embeddings").select(F.col("vec_id").alias("node")), e)
 
 
-@query(f"WITH RECURSIVE {REACH} SELECT component, count(*)::BIGINT AS size, row_number() OVER (ORDER BY count(*) DESC, component) AS place FROM comp GROUP BY component")
+@query(f"WITH RECURSIVE {NEAR} SELECT component, count(*)::BIGINT AS size, row_number() OVER (ORDER BY count(*) DESC, component) AS place FROM comp GROUP BY component")
 def kg_component_sizes(spark, d):
-    sizes = _components(spark, d)[1].groupBy("component").agg(F.count("*").alias("size"))
-    return sizes.withColumn("place", F.row_number().over(Window.orderBy(F.desc("size"), "component")).cast("long"))
+    return kg.ordered_components(_near(spark, d)[1])
 
 
-@query(f"""WITH RECURSIVE {REACH}, sizes AS (SELECT component, count(*) AS n FROM comp GROUP BY component)
+@query(f"""WITH RECURSIVE {NEAR}, sizes AS (SELECT component, count(*) AS n FROM comp GROUP BY component)
 SELECT a.component AS first, b.component AS second FROM sizes a JOIN sizes b ON (a.n, b.component) > (b.n, a.component)""")
 def component_pairs(spark, d):
-    sizes = _components(spark, d)[1].groupBy("component").agg(F.count("*").alias("n"))
-    ranked = sizes.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "component")))
-    a, b = ranked.select(F.col("component").alias("first"), F.col("place").alias("i")), ranked.select(F.col("component").alias("second"), F.col("place").alias("j"))
-    return a.join(b, F.col("i") < F.col("j")).select("first", "second")
+    return kg.all_pairs(Scratch(spark, "pairs").keep(kg.ordered_components(_near(spark, d)[1])), "component", "place")
 
 
-@query(f"""WITH RECURSIVE {REACH}, deg AS (SELECT c.component, c.node, count(*) AS degree FROM comp c JOIN und u ON u.a = c.node GROUP BY ALL),
+@query(f"""WITH RECURSIVE {NEAR}, deg AS (SELECT component, node, (SELECT count(*) FROM und WHERE und.a = node) AS degree FROM comp),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY degree DESC, node) AS place FROM deg),
 tail AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY md5('reps|' || node), node) AS pick FROM ranked WHERE place > 5)
 SELECT component, node, 'top' AS kind FROM ranked WHERE place <= 5 UNION ALL SELECT component, node, 'tail' FROM tail WHERE pick = 1""")
 def component_reps(spark, d):
-    e, labels = _components(spark, d)
-    ranked = labels.join(kg.degree(e), "node").withColumn("place", F.row_number().over(Window.partitionBy("component").orderBy(F.desc("degree"), "node")))
-    tail = sampling.sample_k(ranked.filter("place > 5"), "node", 1, "reps", ["component"])
-    return ranked.filter("place <= 5").select("component", "node", F.lit("top").alias("kind")).unionByName(tail.select("component", "node", F.lit("tail").alias("kind")))
+    e, labels = _near(spark, d)
+    return kg.representatives(labels, e, 5, "reps")
 
 
-@query(f"""WITH RECURSIVE {GEO}, {BOTH}, bfs(node, hops) AS (SELECT 'customer:1', 0 UNION SELECT u.b, hops + 1 FROM bfs JOIN und u ON u.a = node WHERE hops < 8)
+@query(f"""WITH RECURSIVE {ENT}, {GEO}, {BOTH}, node AS (SELECT id AS n FROM ent WHERE entity_type <> 'part'),
+lab(node, component) USING KEY (node) AS (SELECT n, n FROM node
+  UNION (SELECT u.a, min(l.component) FROM lab l JOIN und u ON u.b = l.node JOIN recurring.lab now ON now.node = u.a WHERE l.component < now.component GROUP BY u.a)),
+sizes AS (SELECT component, count(*) AS n FROM lab GROUP BY component),
+deg AS (SELECT component, node, (SELECT count(*) FROM und WHERE und.a = node) AS degree FROM lab),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY degree DESC, node) AS place FROM deg),
+tail AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY md5('reps|' || node), node) AS pick FROM ranked WHERE place > 5),
+rep AS (SELECT component, node FROM ranked WHERE place <= 5 UNION ALL SELECT component, node FROM tail WHERE pick = 1),
+said AS (SELECT DISTINCT component, node, unnest(list_filter(regexp_split_to_array(lower(name || ' ' || value), '[^a-z0-9]+'), lambda x: length(x) > 2)) AS term FROM rep JOIN ent ON id = node),
+met AS (SELECT x.component AS f, y.component AS g, x.node AS s, y.node AS t, count(*) AS n, string_agg(x.term, ', ' ORDER BY x.term) AS terms
+  FROM said x JOIN said y USING (term) JOIN sizes a ON a.component = x.component JOIN sizes b ON b.component = y.component WHERE (a.n, b.component) > (b.n, a.component) GROUP BY ALL)
+SELECT s AS source_id, t AS target_id, 'same_topic' AS relation_type, 'Shared terms: ' || terms AS evidence FROM met QUALIFY row_number() OVER (PARTITION BY f, g ORDER BY n DESC, s, t) <= 4""")
+def kg_stitch(spark, d):
+    """The graph of the regions, nations, customers and suppliers falls into a part
+    for each region."""
+    whole = entities(spark, d).filter("entity_type <> 'part'")
+    return kg.stitch(whole, relations(spark, d).filter("relation_type <> 'supplied_by'"))
+
+
+@query(f"""WITH RECURSIVE {REL}, {BOTH}, bfs(node, hops) AS (SELECT 'customer:1', 0 UNION SELECT u.b, hops + 1 FROM bfs JOIN und u ON u.a = node WHERE hops < 8)
 SELECT 'customer:1' AS start, node, min(hops) AS hops FROM bfs GROUP BY node""")
 def kg_shortest_lengths(spark, d):
-    return kg.distances(kg.edges(relations(spark, d, False)), values(spark, "('customer:1')", "node")).select("start", "node", "hops")
+    return kg.distances(kg.edges(relations(spark, d)), values(spark, "('customer:1')", "node")).select("start", "node", "hops")
 
 
-@query(f"""WITH RECURSIVE {GEO}, {BOTH}, bfs(node, hops) AS (SELECT 'customer:1', 0 UNION SELECT u.b, hops + 1 FROM bfs JOIN und u ON u.a = node WHERE hops < 8)
+@query(f"""WITH RECURSIVE {REL}, {BOTH}, bfs(node, hops) AS (SELECT 'customer:1', 0 UNION SELECT u.b, hops + 1 FROM bfs JOIN und u ON u.a = node WHERE hops < 8)
 SELECT max(h)::INT AS diameter_from_start FROM (SELECT min(hops) AS h FROM bfs GROUP BY node)""")
 def kg_eccentricity(spark, d):
     return kg_shortest_lengths(spark, d).agg(F.max("hops").alias("diameter_from_start"))
 
 
-@query(f"""WITH RECURSIVE {GEO}, {BOTH},
+@query(f"""WITH RECURSIVE {REL}, {BOTH},
 bfs(node, hops) AS (SELECT 'customer:1', 0 UNION SELECT u.b, hops + 1 FROM bfs JOIN und u ON u.a = node WHERE hops < 8),
 dist AS (SELECT node, min(hops) AS hops FROM bfs GROUP BY node),
 parent AS (SELECT d.node, d.hops, min(p.node) AS parent FROM dist d JOIN und u ON u.a = d.node JOIN dist p ON p.node = u.b AND p.hops = d.hops - 1 GROUP BY d.node, d.hops),
 back(target, node) AS (SELECT node, node FROM dist WHERE node LIKE 'supplier:%' UNION SELECT b.target, p.parent FROM back b JOIN parent p ON p.node = b.node)
 SELECT target, node FROM back""")
 def kg_connectors(spark, d):
-    found = kg.distances(kg.edges(relations(spark, d, False)), values(spark, "('customer:1')", "node"))
+    found = kg.distances(kg.edges(relations(spark, d)), values(spark, "('customer:1')", "node"))
     goals = found.filter("node like 'supplier:%'").select("start", F.col("node").alias("target"))
     return kg.paths(found, goals).select("target", "node").distinct()
 
 
-WALK = f"""{GEO}, {BOTH}, around AS (SELECT a AS node, list_sort(list(b)) AS nb FROM und GROUP BY a),
-walk(walk, step, node) AS (SELECT 'customer:' || c_custkey, 0, 'customer:' || c_custkey FROM customer WHERE c_custkey <= 40
+WALK = f"""{REL}, {BOTH}, around AS (SELECT a AS node, list_sort(list(b)) AS nb FROM und GROUP BY a),
+walk(walk, step, node) AS (SELECT 'customer:' || c_custkey, 0, 'customer:' || c_custkey FROM customer
   UNION ALL SELECT w.walk, w.step + 1, nb[1 + (('0x' || substr(md5('walk|' || w.walk || '|' || (w.step + 1)), 1, 8))::BIGINT % len(nb))] FROM walk w JOIN around USING (node) WHERE w.step < 10)"""
 
 
 def _walk_starts(spark, d):
-    return t(spark, d, "customer").filter("c_custkey <= 40").select(F.concat(F.lit("customer:"), "c_custkey").alias("walk"), F.concat(F.lit("customer:"), "c_custkey").alias("node"))
+    return t(spark, d, "customer").select(F.concat(F.lit("customer:"), "c_custkey").alias("walk"), F.concat(F.lit("customer:"), "c_custkey").alias("node"))
 
 
 @query(f"WITH RECURSIVE {WALK} SELECT walk, step, node FROM walk")
 def kg_random_walk(spark, d):
-    return kg.random_walk(kg.edges(relations(spark, d, False)), _walk_starts(spark, d), 10, "walk")
+    return kg.random_walk(kg.edges(relations(spark, d)), _walk_starts(spark, d), 10, "walk")
 
 
 @query(f"""WITH RECURSIVE {WALK}, first AS (SELECT walk, node, min(step) AS step FROM walk GROUP BY walk, node),
@@ -202,12 +212,12 @@ fill AS (SELECT z.walk, size + row_number() OVER (PARTITION BY z.walk ORDER BY m
   FROM size z, spare p WHERE size < 6 AND NOT EXISTS (SELECT 1 FROM seen s WHERE s.walk = z.walk AND s.node = p.node) QUALIFY pos <= 6)
 SELECT walk, pos::INT AS pos, node FROM seen UNION ALL SELECT walk, pos::INT, node FROM fill""")
 def walk_sample(spark, d):
-    e = kg.edges(relations(spark, d, False))
+    e = kg.edges(relations(spark, d))
     return kg.walk_sample(e, kg.degree(e), _walk_starts(spark, d), 6, 8, 10, "walk")
 
 
-@query(f"""WITH {GEO}, {BOTH}, drawn AS (SELECT s.sample, n.node, row_number() OVER (PARTITION BY s.sample ORDER BY md5('bridge|' || s.sample || '|' || n.node), n.node) AS place
-  FROM (SELECT range AS sample FROM range(6)) s, (SELECT DISTINCT a AS node FROM und) n QUALIFY place <= 2),
+@query(f"""WITH {REL}, {BOTH}, turns AS (SELECT node, row_number() OVER (ORDER BY md5('bridge|' || node), node) - 1 AS turn FROM (SELECT DISTINCT a AS node FROM und) QUALIFY turn < 12),
+drawn AS (SELECT (turn // 2)::BIGINT AS sample, node, turn % 2 + 1 AS place FROM turns),
 hop AS (SELECT DISTINCT d.node, x.b FROM (SELECT DISTINCT node FROM drawn) d JOIN und x ON x.a = d.node),
 near AS (SELECT node, b FROM hop UNION SELECT h.node, y.b FROM hop h JOIN und y ON y.a = h.b WHERE y.b <> h.node),
 few AS (SELECT node, b, row_number() OVER (PARTITION BY node ORDER BY b) AS k FROM near QUALIFY k < 3),
@@ -215,31 +225,57 @@ rows_ AS (SELECT sample, place, 0 AS k, node FROM drawn UNION ALL SELECT sample,
 first AS (SELECT sample, node, min((place, k)) AS w FROM rows_ GROUP BY sample, node)
 SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY w)::INT AS pos, node FROM first""")
 def bridging_sample(spark, d):
-    e = kg.edges(relations(spark, d, False))
+    e = kg.edges(relations(spark, d))
     return kg.bridging_sample(e, kg.degree(e), 6, 2, 3, "bridge")
 
 
-@query(f"""WITH {ENT}, {GEO}, m AS (SELECT 'region:' || n_regionkey AS sample, 'nation:' || n_nationkey AS node FROM nation UNION ALL SELECT 'region:' || r_regionkey, 'region:' || r_regionkey FROM region),
-facts AS (SELECT sample, string_agg('- [' || name || ']: ' || value, chr(10) ORDER BY node) AS f FROM m JOIN ent ON id = node GROUP BY sample),
-links AS (SELECT a.sample, string_agg(s || ' -' || k || '-> ' || t, chr(10) ORDER BY s || ' -' || k || '-> ' || t) AS l FROM rel JOIN m a ON a.node = s JOIN m b ON b.node = t AND b.sample = a.sample GROUP BY a.sample)
-SELECT sample, concat_ws(chr(10), f, l) AS description FROM facts LEFT JOIN links USING (sample)""")
-def kg_describe(spark, d):
+@query()
+def connected_samples(spark, d):
+    e = Scratch(spark, "edges").keep(kg.edges(relations(spark, d)))
+    return kg.ensure_connected(e, kg.bridging_sample(e, kg.degree(e), 6, 3, 2, "connect"))
+
+
+@query(f"WITH {ENT} SELECT id, name, entity_type FROM ent WHERE entity_type = 'nation'")
+def entity_lookup(spark, d):
+    ids = t(spark, d, "nation").select(F.concat(F.lit("nation:"), "n_nationkey").alias("id"))
+    return kg.get_entity(entities(spark, d), ids).select("id", "name", "entity_type")
+
+
+MEMBERS = "m AS (SELECT 'region:' || n_regionkey AS sample, 'nation:' || n_nationkey AS node FROM nation UNION ALL SELECT 'region:' || r_regionkey, 'region:' || r_regionkey FROM region)"
+
+
+def _regions(spark, d):
     n = t(spark, d, "nation").select(F.concat(F.lit("region:"), "n_regionkey").alias("sample"), F.concat(F.lit("nation:"), "n_nationkey").alias("node"))
     r = t(spark, d, "region").select(F.concat(F.lit("region:"), "r_regionkey").alias("sample"), F.concat(F.lit("region:"), "r_regionkey").alias("node"))
-    return kg.describe(n.union(r), entities(spark, d), relations(spark, d, False))
+    return n.union(r)
+
+
+@query(f"""WITH {ENT}, {REL}, {MEMBERS},
+facts AS (SELECT sample, string_agg('  - ' || name || ' (' || entity_type || '): ' || value, chr(10) ORDER BY node) AS f FROM m JOIN ent ON id = node GROUP BY sample),
+links AS (SELECT a.sample, string_agg('  - ' || x.name || ' --[' || k || ']--> ' || y.name || chr(10) || '    Evidence: foreign key', chr(10) ORDER BY s, t, k) AS l FROM rel JOIN m a ON a.node = s JOIN m b ON b.node = t AND b.sample = a.sample JOIN ent x ON x.id = s JOIN ent y ON y.id = t GROUP BY a.sample)
+SELECT sample, 'Atomic facts:' || chr(10) || f || chr(10) || chr(10) || 'Relations:' || coalesce(chr(10) || l, '') AS description FROM facts LEFT JOIN links USING (sample)""")
+def kg_describe(spark, d):
+    return kg.describe(_regions(spark, d), entities(spark, d), relations(spark, d))
 
 
-PART = "part_ AS (SELECT 'nation:' || n_nationkey AS node, n_regionkey AS c FROM nation UNION ALL SELECT 'region:' || r_regionkey, r_regionkey FROM region UNION ALL SELECT 'customer:' || c_custkey, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'supplier:' || s_suppkey, s_suppkey % 5 FROM supplier)"
+@query(f"""WITH {ENT}, {MEMBERS} SELECT sample, string_agg('  • [' || name || '] (' || entity_type || '): ' || value || chr(10) || '    key terms: ' || lower(name) || ', ' || entity_type, chr(10) ORDER BY seq) AS description FROM m JOIN ent ON id = node GROUP BY sample""")
+def describe_entities(spark, d):
+    e = entities(spark, d).withColumn("key_terms", F.array(F.lower("name"), "entity_type"))
+    members = _regions(spark, d).join(e.select(F.col("id").alias("node"), F.col("seq").alias("pos")), "node")
+    return kg.describe_entities(members, e.drop("seq"))
 
 
-@query(f"""WITH {GEO}, {PART}, e AS (SELECT a.c AS ca, b.c AS cb FROM (SELECT DISTINCT least(s, t) AS s, greatest(s, t) AS t FROM rel) JOIN part_ a ON a.node = s JOIN part_ b ON b.node = t),
+PART = "part_ AS (SELECT 'nation:' || n_nationkey AS node, n_regionkey AS c FROM nation UNION ALL SELECT 'region:' || r_regionkey, r_regionkey FROM region UNION ALL SELECT 'customer:' || c_custkey, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'supplier:' || s_suppkey, s_suppkey % 5 FROM supplier UNION ALL SELECT 'part:' || p_partkey, p_partkey % 5 FROM part)"
+
+
+@query(f"""WITH {REL}, {PART}, e AS (SELECT a.c AS ca, b.c AS cb FROM (SELECT DISTINCT least(s, t) AS s, greatest(s, t) AS t FROM rel) JOIN part_ a ON a.node = s JOIN part_ b ON b.node = t),
 m AS (SELECT count(*) AS m FROM e), deg AS (SELECT c, count(*) AS k FROM (SELECT ca AS c FROM e UNION ALL SELECT cb FROM e) GROUP BY c), inn AS (SELECT ca AS c, count(*) AS l FROM e WHERE ca = cb GROUP BY ca)
 SELECT round(sum(coalesce(l, 0) / m.m - (k / (2 * m.m)) ** 2), 6) AS modularity, sum(coalesce(l, 0))::BIGINT AS inner_edges, max(m.m)::BIGINT AS n_edges FROM deg LEFT JOIN inn USING (c), m""")
 def kg_modularity(spark, d):
     n, c = t(spark, d, "nation"), t(spark, d, "customer")
     label = lambda kind, key, community, df: df.select(F.concat(F.lit(f"{kind}:"), key).alias("node"), F.col(community).cast("long").alias("community"))
-    parts = [label("nation", "n_nationkey", "n_regionkey", n), label("region", "r_regionkey", "r_regionkey", t(spark, d, "region")), label("customer", "c_custkey", "n_regionkey", c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))), label("supplier", "s_suppkey", "c", t(spark, d, "supplier").withColumn("c", F.col("s_suppkey") % 5))]
-    return kg.modularity(kg.edges(relations(spark, d, False)), sampling.union_all(parts))
+    parts = [label("nation", "n_nationkey", "n_regionkey", n), label("region", "r_regionkey", "r_regionkey", t(spark, d, "region")), label("customer", "c_custkey", "n_regionkey", c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))), label("supplier", "s_suppkey", "c", t(spark, d, "supplier").withColumn("c", F.col("s_suppkey") % 5)), label("part", "p_partkey", "c", t(spark, d, "part").withColumn("c", F.col("p_partkey") % 5))]
+    return kg.modularity(kg.edges(relations(spark, d)), sampling.union_all(parts))
 
 
 @query()
@@ -247,32 +283,34 @@ def kg_communities(spark, d):
     return kg.communities(kg.edges(relations(spark, d)))
 
 
-@query(f"""WITH {GEO}, {BOTH}, sub AS (SELECT 'nation:' || n_nationkey AS node FROM nation WHERE n_nationkey < 3),
-cand AS (SELECT DISTINCT b AS node FROM und WHERE a IN (SELECT node FROM sub) AND b NOT IN (SELECT node FROM sub)),
-deg AS (SELECT c.node, count(*) AS degree FROM cand c JOIN und ON a = c.node GROUP BY c.node),
-ranked AS (SELECT *, row_number() OVER (ORDER BY degree DESC, node) AS place FROM deg)
-SELECT node, degree::BIGINT AS degree FROM ranked WHERE place <= 11 UNION ALL (SELECT node, degree::BIGINT FROM ranked WHERE place > 11 ORDER BY md5('extend|' || node), node LIMIT 1)""")
+@query(f"""WITH {REL}, {BOTH}, {MEMBERS}, all_deg AS (SELECT a AS node, count(*) AS degree FROM und GROUP BY a),
+cand AS (SELECT DISTINCT m.sample, u.b AS node FROM m JOIN und u ON u.a = m.node WHERE (m.sample, u.b) NOT IN (SELECT (sample, node) FROM m)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY degree DESC, node) AS place FROM cand JOIN all_deg USING (node)),
+tail AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY md5('extend|' || node), node) AS pick FROM ranked WHERE place >= 12)
+SELECT sample, place::INT AS place, node FROM ranked WHERE place < 12 UNION ALL SELECT sample, 12, node FROM tail WHERE pick = 1""")
 def extension_candidates(spark, d):
-    e = kg.edges(relations(spark, d, False))
-    sub = t(spark, d, "nation").filter("n_nationkey < 3").select(F.concat(F.lit("nation:"), "n_nationkey").alias("node"))
-    near = kg.undirected(e).join(sub, "node").select(F.col("neighbour").alias("node")).distinct().join(sub, "node", "left_anti")
-    ranked = near.join(kg.degree(e), "node")
-    top = ranked.orderBy(F.desc("degree"), "node").limit(11)
-    return top.unionByName(sampling.sample_k(ranked.join(top.select("node"), "node", "left_anti"), "node", 1, "extend"))
-
-
-@query(f"""WITH {ENT}, {GEO}, base AS (SELECT * FROM ent WHERE entity_type IN ('region', 'nation') AND seq % 2 = 0), fresh AS (SELECT * FROM ent WHERE entity_type IN ('region', 'nation')),
-whole AS (SELECT * FROM base UNION ALL SELECT * FROM fresh WHERE id NOT IN (SELECT id FROM base)), have AS (SELECT * FROM rel WHERE s IN (SELECT id FROM base) AND t IN (SELECT id FROM base))
-SELECT s AS source_id, t AS target_id, k AS relation_type FROM have UNION ALL
-SELECT DISTINCT s, t, k FROM rel WHERE (s, t, k) NOT IN (SELECT (s, t, k) FROM have) AND s IN (SELECT id FROM whole) AND t IN (SELECT id FROM whole)""")
+    return escalation.candidates(kg.edges(relations(spark, d)), entities(spark, d), _regions(spark, d))
+
+
+@query(f"""WITH {ENT}, {REL}, base AS (SELECT * FROM ent WHERE entity_type <> 'part')
+SELECT s AS source_id, t AS target_id, k AS relation_type FROM rel""")
 def kg_merge(spark, d):
-    fresh = entities(spark, d).filter("entity_type in ('region', 'nation')")
-    base = fresh.filter("seq % 2 = 0")
-    rel = relations(spark, d, False).withColumn("edge_seq", F.xxhash64("source_id"))
+    """The graph without parts, then all of it, its relations twice."""
+    fresh, rel = entities(spark, d), relations(spark, d)
+    base = fresh.filter("entity_type <> 'part'")
     have = kg.induced(rel, base)
     return kg.merge(base, have.select(rel.columns), fresh, rel.unionByName(rel))[1].select("source_id", "target_id", "relation_type")
 
 
+@query("""WITH v(k, ids) AS (VALUES (1, ['nation:3', 'none', 'region:1']), (2, ['x']), (3, ['region:0', 'region:0']))
+SELECT * FROM (VALUES (1, 'nation:3,region:1', 'region:2,nation:7'), (2, '', ''), (3, 'region:0,region:0', 'region:3')) w(k, covered, resolved)""")
+def id_lists(spark, d):
+    v = spark.sql("SELECT * FROM VALUES (1, array('nation:3', 'none', 'region:1'), array('asia', 'nobody', 'NATION_7')), (2, array('x'), CAST(array() AS array<string>)), (3, array('region:0', 'region:0'), array('Europe')) AS v(k, ids, names)")
+    e = entities(spark, d)
+    kept, found = kg.covered(v, e, "k", "ids"), kg.resolve_name_lists(v, e, "k", "names")
+    return kept.toDF("k", "ids").join(found.toDF("k", "named"), "k").select("k", F.array_join("ids", ",").alias("covered"), F.array_join("named", ",").alias("resolved"))
+
+
 @query(f"WITH {ENT}, names(name) AS (VALUES ('asia'), ('EUROPE'), ('Germany'), ('nowhere')), f AS (SELECT lower(name) AS k, arg_min(id, seq) AS id FROM ent GROUP BY lower(name)) SELECT n.name, f.id FROM names n JOIN f ON f.k = lower(n.name)")
 def name_resolution(spark, d):
     return kg.resolve_names(values(spark, "('asia'), ('EUROPE'), ('Germany'), ('nowhere')", "name"), entities(spark, d))
@@ -288,23 +326,26 @@ def edge_resolution(spark, d):
 
 
 @query("""WITH p AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS pos FROM part QUALIFY pos <= 8)
-SELECT a.p_brand, a.p_partkey AS a, b.p_partkey AS b FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.pos < b.pos""")
+SELECT a.p_brand, a.p_partkey AS a, b.p_partkey AS b, CASE WHEN x.p_size = y.p_size THEN 'Shared terms: size' || x.p_size ELSE 'Same lookup: ' || a.p_brand END AS evidence FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.pos < b.pos JOIN part x ON x.p_partkey = a.p_partkey JOIN part y ON y.p_partkey = b.p_partkey""")
 def intra_group_edges(spark, d):
-    ranked = t(spark, d, "part").select("p_brand", "p_partkey").withColumn("pos", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))).filter("pos <= 8")
-    return kg.group_pairs(ranked, "p_brand", "pos", "p_partkey").select("p_brand", "a", "b")
+    terms = F.array(F.concat(F.lit("size"), "p_size"), F.concat(F.lit("key"), "p_partkey"))
+    ranked = t(spark, d, "part").select("p_brand", "p_partkey", terms.alias("terms")).withColumn("pos", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))).filter("pos <= 8")
+    return kg.group_pairs(ranked, "p_brand", "pos", "p_partkey", "terms").select("p_brand", "a", "b", "evidence")
 
 
 @query("SELECT a.n_nationkey AS i, b.n_nationkey AS j FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey")
 def inter_group_pairs(spark, d):
-    n = t(spark, d, "nation")
-    return n.select(F.col("n_nationkey").alias("i")).join(n.select(F.col("n_nationkey").alias("j")), F.col("i") < F.col("j"))
+    groups = Scratch(spark, "groups").keep(sampling.ranked(t(spark, d, "nation").select("n_nationkey"), [F.col("n_nationkey")], "place"))
+    return kg.all_pairs(groups, "n_nationkey", "place").toDF("i", "j")
 
 
 @query("""SELECT i, j FROM (SELECT a.n_nationkey AS i, b.n_nationkey AS j, row_number() OVER (PARTITION BY a.n_nationkey ORDER BY md5('cross|' || b.n_nationkey), b.n_nationkey) AS k
 FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey AND a.n_regionkey <> b.n_regionkey) WHERE k <= 3""")
 def cross_topic_partners(spark, d):
     n = t(spark, d, "nation")
-    pairs = n.select(F.col("n_nationkey").alias("i"), F.col("n_regionkey").alias("ri")).join(n.select(F.col("n_nationkey").alias("j"), F.col("n_regionkey").alias("rj")), (F.col("i") < F.col("j")) & (F.col("ri") != F.col("rj")))
+    groups = Scratch(spark, "groups").keep(sampling.ranked(n.select("n_nationkey"), [F.col("n_nationkey")], "place"))
+    region = n.select("n_nationkey", "n_regionkey")
+    pairs = kg.all_pairs(groups, "n_nationkey", "place").toDF("i", "j").join(region.toDF("i", "ri"), "i").join(region.toDF("j", "rj"), "j").filter("ri <> rj")
     return sampling.sample_k(pairs, "j", 3, "cross", ["i"]).select("i", "j")
 
 
@@ -332,9 +373,10 @@ def stats_source_split(spark, d):
     return stats.source_split(t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left"), "quality")
 
 
-@query("SELECT event_type AS tool, count(*)::BIGINT AS n FROM events GROUP BY 1")
+@query("SELECT event_type AS tool, count(*)::BIGINT AS n FROM (SELECT DISTINCT user_id, ts::DATE, event_type FROM events) GROUP BY 1")
 def tool_distribution(spark, d):
-    return stats.exploded_distribution(t(spark, d, "events").select(F.array("event_type").alias("tools")), "tools", "tool")
+    used = t(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.collect_set("event_type").alias("tools"))
+    return stats.exploded_distribution(used, "tools", "tool")
 
 
 @query("WITH h AS (SELECT conv_id, count(*) FILTER (WHERE role = 'assistant') AS n FROM conversations GROUP BY 1) SELECT count(*) FILTER (WHERE n > 0)::BIGINT AS with_history, round(avg(n) FILTER (WHERE n > 0), 4) AS mean_depth FROM h")
@@ -348,17 +390,13 @@ def run_summary(spark, d):
     return stats.run_summary(t(spark, d, "documents"), "lang", "source", "text")
 
 
-ENTITY_WORDS = "regexp_extract_all(substr(text, 1, 400), '[A-Z][a-z]{3,}')"
-
-
-@query(f"""WITH x AS (SELECT DISTINCT source, doc_id, unnest({ENTITY_WORDS}) AS item FROM documents), m AS (SELECT source, count(DISTINCT doc_id) AS k FROM documents GROUP BY 1)
+@query("""WITH x AS (SELECT DISTINCT source, doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]{3,}')) AS item FROM documents), m AS (SELECT source, count(DISTINCT doc_id) AS k FROM documents GROUP BY 1)
 SELECT source, item, count(*)::BIGINT AS n FROM x JOIN m USING (source) GROUP BY source, item, k HAVING count(*) >= 2 OR count(*) = k""")
 def shared_entities(spark, d):
+    """A document without an entity still counts as a member of its source."""
     docs = t(spark, d, "documents")
-    found = docs.select("source", "doc_id", F.explode(F.regexp_extract_all(F.substring("text", 1, 400), F.lit("([A-Z][a-z]{3,})"), F.lit(1))).alias("item"))
-    pairs = found.distinct().groupBy("source", "item").agg(F.count("*").alias("n"))
-    size = docs.groupBy("source").agg(F.countDistinct("doc_id").alias("k"))
-    return pairs.join(size, "source").filter("n >= 2 or n = k").select("source", "item", "n")
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{3,})"), F.lit(1)))
+    return stats.shared_items(docs.select("source", "doc_id", F.explode_outer(words).alias("item")), "source", "doc_id", "item")
 
 
 @query("SELECT source, count(*)::BIGINT AS n_docs, sum(n_chars)::BIGINT AS chars, (sum(length(text)) // 4)::BIGINT AS tokens FROM documents GROUP BY 1")
@@ -421,7 +459,7 @@ def judge_strictness(spark, d):
 
 
 @query(f"""WITH {SQL_GRID}, h AS (SELECT c::DOUBLE AS c FROM g) SELECT c, coalesce(trunc(2 + 4 * c), 2)::BIGINT AS walk_min, coalesce(trunc(4 + 8 * c), 6)::BIGINT AS walk_max, coalesce(trunc(10 + 20 * c), 10)::BIGINT AS walk_steps,
-coalesce(round_even(2 + 2 * c, 0), 2)::BIGINT AS bridge_seeds, coalesce(round_even(2 + 2 * c, 0), 2)::BIGINT AS bridge_each, coalesce(trunc(8 + 4 * c), 10)::BIGINT AS qc_max, {STRICT} AS strictness FROM h""")
+coalesce(round_even(2 + 2 * c, 0), 2)::BIGINT AS bridge_seeds, coalesce(round_even(2 + 2 * c, 0), 2)::BIGINT AS bridge_each, 1::BIGINT AS esc_rounds, coalesce(trunc(8 + 4 * c), 10)::BIGINT AS qc_max, {STRICT} AS strictness FROM h""")
 def complexity_params(spark, d):
     return quality.complexity_params(values(spark, GRID, "c"))
 
@@ -445,9 +483,6 @@ def weighted_choice(spark, d):
 
 # ---- vectors -------------------------------------------------------------------
 
-PAIRS = "p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"
-
-
 def _pairs(spark, d, threshold=0.3):
     return similarity.similar_pairs(t(spark, d, "embeddings"), "vec_id", "embedding", threshold)
 
@@ -479,11 +514,15 @@ def group_score(spark, d):
     return similarity.group_score(t(spark, d, "embeddings"), "label", "vec_id", "embedding")
 
 
-@query(f"WITH {PAIRS}, s AS (SELECT p.*, x.label AS la, y.label AS lb FROM p JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b WHERE sim >= 0.3) SELECT a, b, round(sim + CASE WHEN la <> lb THEN 0.1 ELSE 0 END, 5) AS score FROM s")
+@query(f"""WITH {PAIRS} SELECT a, b, round(sim + CASE WHEN x.label <> y.label THEN 0.1 ELSE 0 END + 0.05 * (CASE WHEN a % 4 = b % 4 THEN 1 ELSE 0 END + CASE WHEN a % 3 = b % 3 THEN 1 ELSE 0 END), 5) AS score
+FROM p JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b WHERE sim >= 0.3""")
 def candidate_score(spark, d):
-    label = t(spark, d, "embeddings").select("vec_id", "label")
-    j = _pairs(spark, d).join(label.toDF("a", "la"), "a").join(label.toDF("b", "lb"), "b")
-    return j.select("a", "b", F.round(F.col("sim") + F.when(F.col("la") != F.col("lb"), 0.1).otherwise(0.0), 5).alias("score"))
+    return similarity.candidate_scores(_pairs(spark, d), _chunks(spark, d)).withColumn("score", F.round("score", 5))
+
+
+def _chunks(spark, d):
+    entities_ = F.array(F.concat(F.lit("four"), F.col("vec_id") % 4), F.concat(F.lit("three"), F.col("vec_id") % 3))
+    return t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("source"), entities_.alias("entities"))
 
 
 @query(f"""WITH RECURSIVE {PAIRS}, n AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS k FROM embeddings), near AS (SELECT b AS v, list(a) AS earlier FROM p WHERE sim >= 0.3 GROUP BY b),
@@ -501,7 +540,7 @@ def duplicate_probe(spark, d):
 
 @query()
 def composite_units(spark, d):
-    return similarity.composite_units(t(spark, d, "embeddings"), "vec_id", _pairs(spark, d), 3)
+    return similarity.composite_units(_chunks(spark, d), Scratch(spark, "units").keep(_pairs(spark, d)), 3)
 
 
 # ---- texts, pages, keys --------------------------------------------------------
@@ -519,12 +558,11 @@ def chunk_text_fallback(spark, d):
     return docs.select("doc_id", F.length(F.coalesce(F.nullif("summary", F.lit("")), "text")).cast("long").alias("n"))
 
 
-CLEAN = "html"
-for _tag in text.DROPPED:
-    CLEAN = f"regexp_replace({CLEAN}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}\\s*>', '', 'g')"
-CLEAN = f"regexp_replace(regexp_replace({CLEAN}, '(?s)<!--.*?-->', '', 'g'), '<[^>]+>', chr(10), 'g')"
-for _name, _char in text.ENTITIES:
-    CLEAN = f"replace({CLEAN}, '{_name}', '{_char.replace(chr(39), chr(39) * 2)}')"
+CLEAN = r"regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<nav\b[^>]*>.*?</nav\s*>|<header\b[^>]*>.*?</header\s*>|<footer\b[^>]*>.*?</footer\s*>|<aside\b[^>]*>.*?</aside\s*>|<!--.*?-->', '', 'g')"
+MARKS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&eacute;", "é"), ("&nbsp;", " "), ("&#39;", "''"), ("&amp;", "&"))
+CLEAN = f"regexp_replace({CLEAN}, '<[^>]+>', chr(10), 'g')"
+for _name, _char in MARKS:
+    CLEAN = f"replace({CLEAN}, '{_name}', '{_char}')"
 
 
 @query(rf"WITH l AS (SELECT page_id, list_filter(list_transform(string_split({CLEAN}, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS lines FROM pages) SELECT page_id, md5(array_to_string(lines, chr(10))) AS digest, length(array_to_string(lines, chr(10)))::BIGINT AS n FROM l")
@@ -533,6 +571,13 @@ def page_clean(spark, d):
     return c.select("page_id", F.md5(F.col("x").cast("binary")).alias("digest"), F.length("x").cast("long").alias("n"))
 
 
+@query("SELECT * FROM (VALUES (0, 'A &amp; B <i>' || chr(10) || 'tail'), (1, 'Tést’s' || chr(10) || 'A…'), (2, ''), (3, 'plain')) v(k, said)")
+def page_clean_cases(spark, d):
+    pages = ["<p>A &amp;amp; B &lt;i&gt;</p><script>x</script> tail", "<nav>menu</nav><h1>T&eacute;st&#8217;s</h1>\n\n <!-- no --><p> &#x41;&hellip; </p>", "<footer>f</footer>", "plain"]
+    ship(spark)
+    return spark.createDataFrame(list(enumerate(pages)), "k int, html string").select("k", text.page_text(F.col("html")).alias("said"))
+
+
 @query(r"SELECT page_id, regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '^\s+|\s+$', '', 'g') AS title FROM pages")
 def page_title(spark, d):
     return t(spark, d, "pages").select("page_id", text.page_title(F.col("html")).alias("title"))
@@ -662,10 +707,11 @@ def table_extract(spark, d):
 # ---- bundles, logs, lists -------------------------------------------------------
 
 
-@query("SELECT doc_id AS id, lang FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 <> 0")
+@query("SELECT doc_id AS id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN lang ELSE 'new' END AS lang FROM documents")
 def bundle_upsert(spark, d):
     docs = t(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang")
-    return files.bundle_upsert(docs.filter("id % 2 = 0"), docs.filter("id % 3 = 0").withColumn("lang", F.lit("new")))
+    there = docs.join(t(spark, d, "labels").select(F.col("doc_id").alias("id")), "id", "left_semi")
+    return files.bundle_upsert(there, docs.withColumn("lang", F.lit("new")))
 
 
 @query("SELECT doc_id AS id, CASE WHEN l.doc_id IS NULL THEN d.lang WHEN quality = 1 THEN 'good' ELSE '' END AS lang FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -674,22 +720,23 @@ def bundle_enrich(spark, d):
     return files.bundle_enrich(t(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang"), update, ["lang"])
 
 
-@query(f"WITH {ENT} SELECT 'entity' AS kind, seq::BIGINT AS seq, '{{\"id\":\"' || id || '\",\"name\":\"' || name || '\"}}' AS json FROM ent WHERE entity_type = 'region'")
+@query(f"""WITH {ENT}, {REL} SELECT 'entity' AS kind, seq::BIGINT AS seq, '{{"id":"' || id || '","name":"' || name || '"}}' AS json FROM ent
+UNION ALL SELECT 'relation', CASE WHEN s LIKE 'nation:%' THEN 0 WHEN s LIKE 'customer:%' THEN 1000000000 WHEN s LIKE 'supplier:%' THEN 2000000000 ELSE 10000000000000 END
+  + CASE WHEN k = 'supplied_by' THEN split_part(s, ':', 2)::BIGINT * 10000000 + split_part(t, ':', 2)::BIGINT ELSE split_part(s, ':', 2)::BIGINT END,
+  '{{"source_id":"' || s || '","target_id":"' || t || '","relation_type":"' || k || '"}}' FROM rel""")
 def kg_serialise(spark, d):
-    e = entities(spark, d).filter("entity_type = 'region'").select("id", "name", "seq")
-    empty = relations(spark, d, False).limit(0).withColumn("edge_seq", F.lit(0).cast("long"))
-    return files.serialised(e, empty)
+    return files.serialised(entities(spark, d).select("id", "name", "seq"), relations(spark, d).drop("evidence"))
 
 
-@query("SELECT conv_id AS qa_id, turn AS step_no, role, substr(text, 1, 200) AS content FROM conversations WHERE role = 'assistant'")
+@query("SELECT conv_id AS qa_id, turn AS step_no, role, text AS content FROM conversations WHERE role = 'assistant'")
 def trajectory_steps(spark, d):
-    return t(spark, d, "conversations").filter("role = 'assistant'").select(F.col("conv_id").alias("qa_id"), F.col("turn").alias("step_no"), "role", F.substring("text", 1, 200).alias("content"))
+    return t(spark, d, "conversations").filter("role = 'assistant'").select(F.col("conv_id").alias("qa_id"), F.col("turn").alias("step_no"), "role", F.col("text").alias("content"))
 
 
-@query("SELECT conv_id AS qa_id, count(*)::BIGINT AS steps, count(*) FILTER (WHERE role = 'assistant')::BIGINT AS replies, arg_max(substr(text, 1, 100), turn) AS last FROM conversations GROUP BY 1")
+@query("SELECT conv_id AS qa_id, count(*)::BIGINT AS steps, count(*) FILTER (WHERE role = 'assistant')::BIGINT AS replies, arg_max(text, turn) AS last FROM conversations GROUP BY 1")
 def trajectory_summary(spark, d):
     c = t(spark, d, "conversations").groupBy(F.col("conv_id").alias("qa_id"))
-    return c.agg(F.count("*").alias("steps"), F.count_if(F.col("role") == "assistant").alias("replies"), F.max_by(F.substring("text", 1, 100), F.col("turn")).alias("last"))
+    return c.agg(F.count("*").alias("steps"), F.count_if(F.col("role") == "assistant").alias("replies"), F.max_by("text", "turn").alias("last"))
 
 
 @query("SELECT event_id, substr(props, 1, 200) AS props, round(value, 1) AS value FROM events ORDER BY ts DESC, event_id DESC LIMIT 200")
@@ -761,11 +808,11 @@ def subgraph_ids(spark, d):
 # ---- providers, tracks, streams -------------------------------------------------
 
 
-@query("WITH w AS (SELECT source, doc_id, unnest(regexp_extract_all(substr(text, 1, 300), '[A-Z][a-z]{3,}')) AS term FROM documents) SELECT lower(term) AS term, arg_min(source, doc_id) AS lineage FROM w GROUP BY 1")
+@query("WITH w AS (SELECT source, doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]{3,}')) AS term FROM documents) SELECT lower(term) AS term, arg_min(source, (doc_id, source)) AS lineage FROM w GROUP BY 1")
 def seed_lineage(spark, d):
     docs = t(spark, d, "documents")
-    w = docs.select("source", "doc_id", F.explode(F.regexp_extract_all(F.substring("text", 1, 300), F.lit("([A-Z][a-z]{3,})"), F.lit(1))).alias("term"))
-    return w.groupBy(F.lower("term").alias("term")).agg(F.min_by("source", "doc_id").alias("lineage"))
+    w = docs.select("source", "doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{3,})"), F.lit(1)))).alias("term"))
+    return w.groupBy(F.lower("term").alias("term")).agg(F.min_by("source", F.struct("doc_id", "source")).alias("lineage"))
 
 
 @query()
@@ -781,7 +828,7 @@ def frontier_expansion(spark, d):
 
 @query()
 def graph_track(spark, d):
-    return tracks.graph_track(entities(spark, d), relations(spark, d), 20, "track", 0.4)
+    return tracks.graph_track(entities(spark, d), relations(spark, d), 60, "track", 0.4, rounds=1)
 
 
 @query("SELECT strftime(ts::DATE, '%Y-%m-%d 00:00:00') AS window_start, event_type AS tool, count(*)::BIGINT AS n, round(avg(value), 4) AS mean_value, max(value) AS max_value FROM events GROUP BY 1, 2")
@@ -795,6 +842,390 @@ def user_sessions(spark, d):
     return events.sessions(t(spark, d, "events"))
 
 
+# ---- cascade, escalation, corpus track --------------------------------------------
+
+ORDERS = """q AS (SELECT 'order:' || lpad(o_orderkey::VARCHAR, 9, '0') AS qa_id, 'Which customer ordered on ' || strftime(o_orderdate, '%Y-%m-%d') || ' at priority ' || o_orderpriority || '?' AS question, c_name AS answer, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority AS pri FROM orders JOIN customer ON c_custkey = o_custkey
+  UNION ALL SELECT 'none:' || r_regionkey, 'Which customer is in ' || r_name || '?', NULL, NULL, NULL, NULL FROM region)"""
+
+
+@query(f"""WITH {ORDERS}, n AS (SELECT answer, count(*) AS n FROM q WHERE answer IS NOT NULL GROUP BY 1), popular AS (SELECT answer AS p FROM n ORDER BY n DESC, answer LIMIT 1),
+first AS (SELECT day, pri, min(answer) AS f FROM q GROUP BY day, pri),
+told AS (SELECT q.*, answer = p AS base, answer = f AS adv FROM q LEFT JOIN first USING (day, pri), popular),
+dup AS (SELECT qa_id, row_number() OVER (PARTITION BY question ORDER BY qa_id) > 1 AS dup FROM told WHERE NOT base AND adv)
+SELECT qa_id, CASE WHEN answer IS NULL THEN 'INVALID' WHEN base THEN 'TOO_EASY' WHEN NOT adv THEN 'TOO_HARD' WHEN dup THEN 'DUPLICATE' ELSE 'PASS' END AS verdict FROM told LEFT JOIN dup USING (qa_id)""")
+def quality_cascade(spark, d):
+    """A question for every order. The base solver knows the customer with most
+    orders, the advanced one looks up the first customer by day and priority."""
+    o = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderpriority").alias("pri"))
+    o = o.join(t(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey")
+    asked = F.concat(F.lit("Which customer ordered on "), "day", F.lit(" at priority "), "pri", F.lit("?"))
+    qa = o.select(F.concat(F.lit("order:"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("qa_id"), asked.alias("question"), F.col("c_name").alias("answer"))
+    lost = t(spark, d, "region").select(F.concat(F.lit("none:"), "r_regionkey").alias("qa_id"), F.concat(F.lit("Which customer is in "), "r_name", F.lit("?")).alias("question"), F.lit(None).cast("string").alias("answer"))
+    popular = o.groupBy("c_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "c_name").limit(1).select(F.col("c_name").alias("reply"))
+    first = o.groupBy(asked.alias("question")).agg(F.min("c_name").alias("reply"))
+    none = F.lit(None).cast("string").alias("error")
+    base = lambda rows: rows.crossJoin(F.broadcast(popular)).select("qa_id", "reply", none)  # noqa: E731  one row on one side
+    advanced = lambda rows: rows.join(first, "question", "left").select("qa_id", "reply", none)
+    return quality_control.cascade(qa.unionByName(lost), base, advanced, quality_control.same_question(None)).select("qa_id", "verdict")
+
+
+@query("""SELECT * FROM (VALUES ('1,500,000 people', '1.5 million people', true, true, true), ('Paris', 'It is Paris, in France.', true, true, true), ('Ann Lee and Bob Ray', 'Bob Ray', false, false, true),
+  ('Lee Ann', 'Ann Lee', false, true, false), ('Rome', 'Romeo', false, false, false), ('x', '', false, false, false), ('New York', 'new-york!', true, true, true)) v(expected, given, strict, paraphrase, partial)""")
+def judge_rules(spark, d):
+    v = values(spark, "('1,500,000 people', '1.5 million people'), ('Paris', 'It is Paris, in France.'), ('Ann Lee and Bob Ray', 'Bob Ray'), ('Lee Ann', 'Ann Lee'), ('Rome', 'Romeo'), ('x', ''), ('New York', 'new-york!')", "expected, given")
+    told = lambda mode: quality.judge(F.col("expected"), F.col("given"), F.lit(mode))
+    return v.select("expected", "given", told("strict").alias("strict"), told("lenient_paraphrase").alias("paraphrase"), told("lenient_partial").alias("partial"))
+
+
+INJECTED = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in escalation.OPERATIONS.items())
+
+
+@query(f"""WITH op(name) AS (VALUES ('entity_merging'), ('temporal_displacement'), ('attribute_substitution'), ('condition_injection'), ('aggregation_requirement'), ('indirection')),
+drawn AS (SELECT n_nationkey, n_name, name, row_number() OVER (PARTITION BY n_nationkey ORDER BY md5('inject|nation:' || n_nationkey || '|' || name), name) AS k FROM nation, op QUALIFY k <= 2)
+SELECT 'nation:' || n_nationkey AS qa_id, 'Where is ' || n_name || '?' || string_agg(CASE name {INJECTED} END, '' ORDER BY k) AS question, 'Where is ' || n_name || '?,' || string_agg('uncertainty:' || name, ',' ORDER BY k) AS history FROM drawn GROUP BY n_nationkey, n_name""")
+def uncertainty_injection(spark, d):
+    asked = F.concat(F.lit("Where is "), "n_name", F.lit("?"))
+    qa = t(spark, d, "nation").select(F.concat(F.lit("nation:"), "n_nationkey").alias("qa_id"), asked.alias("question"), F.array(asked).alias("history"))
+    return escalation.inject(qa).select("qa_id", "question", F.array_join("history", ",").alias("history"))
+
+
+@query("""WITH f AS (SELECT n_regionkey AS r, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos FROM nation QUALIFY pos < n_regionkey)
+SELECT 'region:' || r_regionkey AS qa_id, 'What is ' || r_name || '?' || coalesce(string_agg(' Take into account: ' || n_name, '' ORDER BY pos), '') AS question,
+CASE WHEN count(pos) > 0 THEN 'escalated_' || least(3, count(pos)) ELSE 'seed' END AS difficulty, count(pos)::INT AS rounds FROM region LEFT JOIN (SELECT * FROM f WHERE pos < 3) ON r = r_regionkey GROUP BY r_regionkey, r_name""")
+def corpus_escalation(spark, d):
+    """Region k has k facts, so the first has none and stays as it was."""
+    asked = F.concat(F.lit("What is "), "r_name", F.lit("?"))
+    qa = t(spark, d, "region").select(F.concat(F.lit("region:"), "r_regionkey").alias("qa_id"), asked.alias("question"), F.lit("seed").alias("difficulty"), F.array().cast("array<string>").alias("history"))
+    pos = (F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) - 1).alias("pos")
+    facts = t(spark, d, "nation").select("n_regionkey", F.col("n_name").alias("fact"), pos).filter("pos < n_regionkey")
+    made = escalation.corpus_rounds(qa, facts.select(F.concat(F.lit("region:"), "n_regionkey").alias("qa_id"), "pos", "fact"))
+    return made.select("qa_id", "question", "difficulty", F.size("history").alias("rounds"))
+
+
+@query("SELECT doc_id::VARCHAR AS qa_id, CASE WHEN quality = 1 THEN 'new' ELSE d.lang END AS question FROM documents d LEFT JOIN labels l USING (doc_id)")
+def batch_fallback(spark, d):
+    """Failed and missing steps keep the original."""
+    original = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("qa_id"), F.col("lang").alias("question"))
+    tried = t(spark, d, "labels").select(F.col("doc_id").cast("string").alias("qa_id"), F.lit("new").alias("question"), F.when(F.col("quality") != 1, "failed").alias("error"))
+    return escalation.fallback(original, tried, ["question"])
+
+
+@query()
+def graph_escalation(spark, d):
+    members = _regions(spark, d)
+    order = F.row_number().over(Window.partitionBy("sample").orderBy("node"))
+    members = members.withColumn("pos", order)
+    e, r = entities(spark, d), relations(spark, d)
+    qa = quality_control.graph_questions(members, e, r).withColumn("difficulty", F.lit("seed")).withColumn("history", F.array().cast("array<string>"))
+    made, grown = escalation.graph_rounds(Scratch(spark, "qa").keep(qa), members, e, r, 2)
+    ids = grown.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "node"))), lambda x: x["node"]), ",").alias("ids"))
+    return made.join(ids, "sample").select("qa_id", "question", "difficulty", F.size("history").alias("rounds"), "ids")
+
+
+@query()
+def corpus_track(spark, d):
+    return tracks.corpus_track(t(spark, d, "documents"))
+
+
+# ---- tools --------------------------------------------------------------------------
+
+
+def toolbox(spark, d) -> tools.Registry:
+    docs = t(spark, d, "documents")
+    corpus = docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("doc "), "doc_id").alias("title"), "text", F.concat(F.lit("https://docs/"), "doc_id").alias("url"))
+    names = F.array(F.struct(F.col("source").alias("name")))
+    papers = docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("paper "), "doc_id").alias("title"), names.alias("authors"), F.lit(2020).alias("year"), F.col("lang").alias("venue"), F.col("text").alias("abstract"), F.lit(0).alias("citation_count"), F.concat(F.lit("https://papers/"), "doc_id").alias("url"))
+    articles = t(spark, d, "nation").select(F.col("n_name").alias("title"), F.lit("a nation").alias("description"), F.lit("short").alias("extract"), F.repeat("n_name", 2000).alias("body"))
+    return tools.offline(corpus, papers, articles, t(spark, d, "pages"), t(spark, d, "part").withColumn("id", F.col("p_partkey")), ["p_name", "p_brand", "p_type"])
+
+
+CALLS = [("1", "calculator", "2 ** 10"), ("2", "Unit_Converter", "13.6 eV to J please"), ("3", "timeline", "diff 1945-07-16, 1986-04-26"), ("4", "abacus", "1"), ("5", "python", "import os"), ("6", "comparison", "no json"), ("7", "wikipedia", "atlantis"), ("8", "table", "ftp://x | y"), ("9", "document_reader", "nowhere pages=1-2"), ("10", None, "x"), ("11", "visit", "https://nowhere | goal"), ("12", "calculator", ""), ("13", "unit_converter", "1. m to km")]
+
+
+@query("""SELECT * FROM (VALUES ('1', 'calculator', '1024', NULL), ('2', 'unit_converter', '13.6 ev = 2.17896e-18 j', NULL), ('3', 'timeline', '14894 days (40 years, 9 months, 24 days)', NULL), ('4', 'abacus', NULL, 'unknown tool: abacus'),
+  ('5', 'python', 'import not allowed: os', NULL), ('6', 'comparison', 'no json', NULL), ('7', 'wikipedia', 'Article not found: atlantis', NULL), ('8', 'table', NULL, NULL), ('9', 'document_reader', 'File not found: nowhere', NULL), ('10', NULL, NULL, 'unknown tool: '),
+  ('11', 'visit', 'Could not read: https://nowhere', NULL), ('12', 'calculator', 'No expression provided.', NULL), ('13', 'unit_converter', '1.0 m = 0.001 km', NULL)) v(key, tool, result, error)""")
+def tool_calls(spark, d):
+    return toolbox(spark, d).execute(spark.createDataFrame(CALLS, "key string, tool string, query string"))
+
+
+@query("""WITH d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'))) AS w FROM documents), q(key, w) AS (VALUES ('a', 'the'), ('a', 'thing'), ('a', 'clown'), ('b', 'and'), ('b', 'nothinglikethis')),
+h AS (SELECT key, doc_id, count(*) AS score FROM q JOIN d USING (w) GROUP BY ALL) SELECT key, row_number() OVER (PARTITION BY key ORDER BY score DESC, doc_id)::INT AS rank, doc_id AS id, score::BIGINT AS score FROM h QUALIFY rank <= 10""")
+def search_many(spark, d):
+    calls = values(spark, "('a', 'The thing; CLOWN the'), ('b', 'and nothinglikethis'), ('c', '?!')", "key, query")
+    return tools.search(calls, t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
+
+
+@query("""WITH d AS (SELECT doc_id, source, lang, unnest(list_distinct(regexp_extract_all(lower('paper ' || doc_id || ' ' || text), '[\\p{L}\\p{N}]+'))) AS w FROM documents),
+h AS (SELECT doc_id, source, lang, count(*) AS score FROM d WHERE w IN ('the', 'paper') GROUP BY ALL) SELECT 'a' AS key, row_number() OVER (ORDER BY score DESC, doc_id)::INT AS rank, 'paper ' || doc_id AS title, source AS authors, lang AS venue, 'https://papers/' || doc_id AS url FROM h QUALIFY rank <= 5""")
+def scholar_search(spark, d):
+    docs = t(spark, d, "documents")
+    papers = docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("paper "), "doc_id").alias("title"), F.array(F.struct(F.col("source").alias("name"))).alias("authors"), F.lit(2020).alias("year"), F.col("lang").alias("venue"), F.col("text").alias("abstract"), F.lit(0).alias("citation_count"), F.concat(F.lit("https://papers/"), "doc_id").alias("url"))
+    found = tools.scholar(values(spark, "('a', 'the paper')", "key, query"), papers)
+    return found.select("key", "rank", "title", F.array_join("authors", ", ").alias("authors"), "venue", "url")
+
+
+@query("SELECT n_nationkey::VARCHAR AS key, '# ' || n_name || chr(10) || 'a nation' || chr(10) || chr(10) || CASE WHEN length(repeat(n_name, 2000)) > 8000 THEN substr(repeat(n_name, 2000), 1, 8000) || '...' ELSE repeat(n_name, 2000) END AS result FROM nation")
+def encyclopedia(spark, d):
+    calls = t(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("key"), F.lower("n_name").alias("query"))
+    return toolbox(spark, d).get("Wikipedia").run(calls)
+
+
+@query("""SELECT * FROM (VALUES ('1', 'Kings ruled the north. Their kings were many.'), ('2', 'Kings ruled the north. Nothing else.' || chr(10) || 'Their kings were many.'), ('3', 'Could not read: https://b/2')) v(key, result)""")
+def goal_summary(spark, d):
+    ship(spark)
+    pages = spark.createDataFrame([("https://a/1", "<h1></h1><p>Kings ruled the north. Nothing else.</p><p>Their kings were many.</p><script>kings</script>"), ("https://b/2", "<nav>kings</nav>")], "url string, html string")
+    calls = spark.createDataFrame([("1", "https://a/1 | about kings"), ("2", "https://a/1"), ("3", "https://b/2 | kings")], "key string, query string")
+    return tools.visit(calls, pages)
+
+
+@query("""SELECT * FROM (VALUES ('1', 'Kings' || chr(10) || 'name | year' || chr(10) || 'Ann | 1700' || chr(10) || 'Bob | 1800'), ('2', NULL), ('3', 'Kings' || chr(10) || 'name | year' || chr(10) || 'Ann | 1700' || chr(10) || 'Bob | 1800')) v(key, result)""")
+def page_tables(spark, d):
+    ship(spark)
+    page = "<h2>Kings</h2><table><tr><th>name<th>year</tr><tr><td>Ann<td>1700</tr><tr><td>short</tr><tr><td>Bob</td><td>1800</td></tr></table>"
+    calls = spark.createDataFrame([("1", "https://a/1 | ann"), ("2", "https://a/1 | zebra"), ("3", "https://a/1")], "key string, query string")
+    return tools.table(calls, spark.createDataFrame([("https://a/1", page), ("https://a/2", "")], "url string, html string"))
+
+
+@query("""SELECT * FROM (VALUES ('a', '[One] kings of old' || chr(10) || '[Three] kings and crowns' || chr(10) || chr(10) || 'Kings ruled.' || chr(10) || 'name' || chr(10) || 'year' || chr(10) || 'Ann' || chr(10) || '1700' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'More on crowns.' || chr(10) || chr(10) || chr(10) || 'name | year' || chr(10) || 'Ann | 1700')) v(key, text)""")
+def search_visit_chain(spark, d):
+    ship(spark)
+    corpus = spark.createDataFrame([(1, "One", "kings of old", "https://a/1"), (2, "Two", "kings too", ""), (3, "Three", "kings and crowns", "https://a/3"), (4, "Four", "nothing", "https://a/4")], "id int, title string, text string, url string")
+    pages = spark.createDataFrame([("https://a/1", "<p>Kings ruled.</p><table><tr><th>name<th>year</tr><tr><td>Ann<td>1700</tr></table>"), ("https://a/3", "<p>More on crowns.</p>")], "url string, html string")
+    return tools.search_visit(spark.createDataFrame([("a", "kings"), ("b", "zebra")], "key string, query string"), corpus, pages)
+
+
+@query("""WITH r AS (SELECT p_partkey, lower(p_name || ' ' || p_brand || ' ' || p_type) AS x FROM part), s AS (SELECT p_partkey, x, CASE WHEN contains(x, 'small') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'steel') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'small steel') THEN 2 ELSE 0 END AS score FROM r),
+k AS (SELECT x, row_number() OVER (ORDER BY score DESC, p_partkey) AS rank FROM s WHERE score > 0 QUALIFY rank <= 10)
+SELECT '1' AS key, (SELECT string_agg(rank || '. ' || x, chr(10) ORDER BY rank) FROM k) AS result UNION ALL SELECT '2', NULL""")
+def knowledge_base_tool(spark, d):
+    return toolbox(spark, d).get("knowledge_base").run(values(spark, "('1', 'Small STEEL'), ('2', 'zzzqqq')", "key, query"))
+
+
+@query("SELECT doc_id::VARCHAR AS key, CASE WHEN length(substr(text, 1, 6000)) > 4000 THEN substr(text, 1, 4000) || chr(10) || '... [truncated]' ELSE substr(text, 1, 6000) END AS result FROM documents")
+def document_read(spark, d):
+    docs = t(spark, d, "documents")
+    calls = docs.select(F.col("doc_id").cast("string").alias("key"), F.concat(F.col("doc_id").cast("string"), F.lit(" pages=1-2")).alias("query"))
+    return tools.document_reader(calls, docs.select(F.col("doc_id").cast("string").alias("path"), "text"), 4000)
+
+
+@query("""SELECT * FROM (VALUES ('diff 1945-07-16, 1986-04-26', 'diff', '14894 days (40 years, 9 months, 24 days)'), ('ADD 2024-01-31, 1 months', 'add', '2024-02-28'), ('add 2024-02-29, 1 year', 'add', NULL), ('overlap 1914-1918, 1939-1945', 'overlap', 'no overlap, gap of 11323 days'),
+  ('overlap 1914-1940, 1939-1945', 'overlap', 'overlap of 365 days'), ('order b: 1999; a: 1990-02-03; c: soon', 'order', '1. a: 1990-02-03' || chr(10) || '2. b: 1999'), ('huh', NULL, NULL)) v(x, operation, said)""")
+def timeline_answers(spark, d):
+    v = values(spark, "('diff 1945-07-16, 1986-04-26'), ('ADD 2024-01-31, 1 months'), ('add 2024-02-29, 1 year'), ('overlap 1914-1918, 1939-1945'), ('overlap 1914-1940, 1939-1945'), ('order b: 1999; a: 1990-02-03; c: soon'), ('huh')", "x")
+    return v.select("x", dates.operation(F.col("x")).alias("operation"), dates.answer(F.col("x")).alias("said"))
+
+
+GRID_JSON = '{"entities":["A","B"],"attributes":["size","age"],"comparison":{"A":{"size":"3"},"B":{"size":"4","age":"9"}},"summary":"B is older"}'
+
+
+@query(f"""WITH g AS (SELECT rpad('Attribute', 25, ' ') || rpad('A', 25, ' ') || rpad('B', 25, ' ') AS head) SELECT 1 AS k, head || chr(10) || repeat('-', 75) || chr(10) || rpad('size', 25, ' ') || rpad('3', 25, ' ') || rpad('4', 25, ' ') || chr(10) || rpad('age', 25, ' ') || rpad('N/A', 25, ' ') || rpad('9', 25, ' ') || chr(10) || chr(10) || 'Summary: B is older' AS said FROM g
+UNION ALL SELECT 2, '{{"a":1}}' UNION ALL SELECT 3, 'none at all'""")
+def comparison_grid(spark, d):
+    ship(spark)
+    v = spark.createDataFrame([(1, f"so {GRID_JSON}"), (2, '{"a":1}'), (3, "none at all")], "k int, x string")
+    return v.select("k", text.comparison_grid(F.col("x")).alias("said"))
+
+
+@query("SELECT * FROM (VALUES ('import math', NULL), ('import os', 'import not allowed: os'), ('open(1)', 'call not allowed: open')) v(code, problem)")
+def import_check(spark, d):
+    ship(spark)
+    tools.register_functions(spark)
+    return spark.sql("SELECT code, import_problem(code) AS problem FROM VALUES ('import math'), ('import os'), ('open(1)') AS v(code)")
+
+
+@query("""SELECT 'test' AS stage, tool, query, ok, '{"event":"tool_call","stage":"test","tool":"' || tool || '","query":"' || query || '","ok":' || ok || '}' AS event FROM (VALUES ('calculator', '1 + 1', true), ('table', 'ftp://x', false)) v(tool, query, ok)""")
+def event_log(spark, d):
+    calls = values(spark, "('1', 'calculator', '1 + 1'), ('2', 'table', 'ftp://x')", "key, tool, query")
+    return tools.event_log(toolbox(spark, d).execute(calls), calls, "test")
+
+
+@query("""SELECT * FROM (VALUES ('1', 'forty two', 2, 'calculator', '42'), ('2', NULL, 2, 'calculator', '42'), ('3', 'Paris', 1, NULL, NULL)) v(qa_id, answer, steps, tool, seen)""")
+def react_trajectories(spark, d):
+    """A scripted model: question 1 calls once, 2 never ends, 3 answers at once."""
+
+    def model(talk):
+        if "Paris" in talk[0]:
+            return "Paris"
+        if "ends" in talk[0] or len(talk) < 2:
+            return "Let me see.\nTOOL_CALL: Calculator | 6 * 7"
+        return "forty two"
+
+    asked = values(spark, "('1', 'what is it?'), ('2', 'never ends'), ('3', 'Paris?')", "qa_id, question")
+    got = providers.react(asked, model, {"calculator": calc.calculate}, "qa_id", "question", 2)
+    first = F.try_element_at("steps", F.lit(1))
+    return got.select("qa_id", "answer", F.size("steps").alias("steps"), first["tool"].alias("tool"), first["observation"].alias("seen"))
+
+
+@query("SELECT * FROM (VALUES (1, '1. name: a | size: 3' || chr(10) || '2. name: b'), (2, '')) v(k, said)")
+def numbered_results(spark, d):
+    pair = "named_struct('key', '{0}', 'value', {1})"
+    items = f"array(array({pair.format('name', chr(39) + 'a' + chr(39))}, {pair.format('size', chr(39) + '3' + chr(39))}), array({pair.format('name', chr(39) + 'b' + chr(39))}, {pair.format('size', 'CAST(NULL AS string)')}))"
+    v = spark.sql(f"SELECT * FROM VALUES (1, {items}), (2, slice({items}, 1, 0)) AS v(k, x)")
+    return v.select("k", text.numbered(F.col("x")).alias("said"))
+
+
+@query("SELECT n_regionkey AS region, string_agg('- [' || n_name || ']: ' || n_nationkey, chr(10) ORDER BY n_nationkey) AS facts, string_agg(chr(10) || '--- Source ' || k || ' (ID: ' || n_nationkey || ') ---' || chr(10) || 'Domain: ' || n_regionkey || chr(10) || 'Entities: ' || n_name || ', x' || chr(10) || 'Content: ' || lower(n_name) || chr(10), '' ORDER BY n_nationkey) AS sources FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS k FROM nation) GROUP BY 1")
+def fact_groups(spark, d):
+    n = t(spark, d, "nation")
+    chunk = F.struct(F.col("n_nationkey").alias("id"), F.col("n_regionkey").cast("string").alias("domain"), F.array("n_name", F.lit("x")).alias("entities"), F.lower("n_name").alias("summary"))
+    made = n.groupBy(F.col("n_regionkey").alias("region")).agg(text.fact_group(F.col("n_name"), F.col("n_nationkey").cast("string"), F.col("n_nationkey")).alias("facts"), F.array_sort(F.collect_list(chunk)).alias("chunks"))
+    return made.select("region", "facts", text.source_blocks(F.col("chunks")).alias("sources"))
+
+
+@query("WITH w AS (SELECT n_nationkey, unnest(list_filter(regexp_split_to_array(lower(n_name || ' is in ' || n_regionkey), '[^a-z0-9]+'), lambda x: x <> '')) AS x FROM nation) SELECT n_nationkey, (('0x' || substr(md5(x), 1, 8))::BIGINT % 64)::INT AS place, count(*)::DOUBLE AS n FROM w GROUP BY ALL")
+def text_embedding(spark, d):
+    v = similarity.embed(F.concat("n_name", F.lit(" is in "), F.col("n_regionkey").cast("string")))
+    return t(spark, d, "nation").select("n_nationkey", F.posexplode(v).alias("place", "n")).filter("n > 0")
+
+
+@query("SELECT * FROM (VALUES (1, NULL), (2, '{\"answer\": \"b\"}'), (3, '{\"answer\": \"c\"}')) v(k, json)")
+def json_rescue_fenced(spark, d):
+    """Without a direct pass over the whole text: bare JSON is found by its braces."""
+    rows = r"""(1, 'none'), (2, 'so:\n```json\n{"answer": "b"}\n``` {"answer": "z"}'), (3, '{"answer": "c"}')"""
+    return values(spark, rows, "k, x").select("k", text.json_rescue(F.col("x"), "answer", whole_first=False).alias("json"))
+
+
+@query(r"SELECT doc_id, CASE WHEN length(text) > 2000 THEN substr(text, 1, 2000) || '...' ELSE text END AS cut, length(regexp_replace(text, '^\s+|\s+$', '', 'g')) >= 20 AS long_enough FROM documents")
+def truncations(spark, d):
+    return t(spark, d, "documents").select("doc_id", text.truncated(F.col("text"), 2000).alias("cut"), (F.length(text.strip(F.col("text"))) >= 20).alias("long_enough"))
+
+
+@query("SELECT * FROM (VALUES ('- calculator: works out an expression')) v(line)")
+def tool_enablement(spark, d):
+    ship(spark)
+    lines = toolbox(spark, d).enabled(["calculator", "nothing"]).descriptions().splitlines()
+    return spark.createDataFrame([(x,) for x in lines], "line string")
+
+
+@query(f"WITH {JUDGED}, k AS (SELECT doc_id // 50 AS batch, doc_id, verdict, row_number() OVER (PARTITION BY doc_id // 50 ORDER BY doc_id) AS i FROM j) SELECT batch, doc_id, row_number() OVER (PARTITION BY batch ORDER BY doc_id)::INT AS place FROM k WHERE i <= 15 AND verdict = 'PASS' QUALIFY place <= 5")
+def first_n_with_retries(spark, d):
+    """Twice as many are started as wanted, and as many tried again if too few pass."""
+    rows = _judged(spark, d).withColumn("batch", F.expr("doc_id div 50"))
+    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("batch").orderBy("doc_id"))).filter("i <= 15")
+    return sampling.first_n(rows, 5, "doc_id", ["batch"], F.col("verdict") == "PASS").select("batch", "doc_id", "place")
+
+
+# ---- sources and sinks, each written to the shared folder and read back -------------
+
+
+def _folder(spark, name: str) -> str:
+    return Scratch(spark, name).base
+
+
+@query("SELECT r_regionkey::VARCHAR || ' ' || r_name AS text FROM region WHERE r_regionkey > 0")
+def corpus_files(spark, d):
+    folder = _folder(spark, "corpus")
+    r = t(spark, d, "region")
+    said = F.when(F.col("r_regionkey") > 0, F.concat(F.lit("\n  "), F.col("r_regionkey").cast("string"), F.lit(" "), "r_name", F.lit(" \n\t"))).otherwise(F.lit(" \n "))
+    r.select(said.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return files.corpus(spark, folder).select("text")
+
+
+@query("SELECT doc_id::VARCHAR AS id, text AS question, lang AS domain FROM documents UNION ALL SELECT 'again' || doc_id, text, lang FROM documents JOIN labels USING (doc_id)")
+def jsonl_round_trip(spark, d):
+    folder = _folder(spark, "jsonl")
+    docs = t(spark, d, "documents")
+    qa = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("question"), F.col("lang").alias("domain"))
+    files.save_jsonl(qa, f"{folder}/qa")
+    more = docs.join(t(spark, d, "labels").select("doc_id"), "doc_id").select(F.concat(F.lit("again"), "doc_id").alias("id"), F.col("text").alias("question"), F.col("lang").alias("domain"))
+    none = more.select(F.lit(None).cast("string").alias("trajectory"))
+    files.append_pair(more, none, folder)
+    return files.jsonl(spark, f"{folder}/qa").filter("_bad is null").select("id", "question", "domain")
+
+
+@query("SELECT * FROM (VALUES ('a', 'q1', false), (NULL, NULL, true)) v(id, question, bad)")
+def jsonl_bad_lines(spark, d):
+    folder = _folder(spark, "lines")
+    values(spark, "('{\"id\": \"a\", \"question\": \"q1\"}'), (''), ('{broken')", "value").coalesce(1).write.text(folder)
+    return files.jsonl(spark, folder).select("id", "question", F.col("_bad").isNotNull().alias("bad")).filter("id is not null or bad")
+
+
+@query(f"WITH {ENT} SELECT id, name, seq::BIGINT AS seq, 'located' AS section FROM (SELECT id, name, row_number() OVER (ORDER BY id) - 1 AS seq FROM ent WHERE entity_type = 'region') UNION ALL SELECT 'nation:' || n_nationkey, 'region:' || n_regionkey, row_number() OVER (ORDER BY n_nationkey) - 1, 'relation' FROM nation")
+def graph_file(spark, d):
+    folder = _folder(spark, "graph")
+    e = t(spark, d, "region").select(F.concat(F.lit("region:"), "r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    r = t(spark, d, "nation").select("n_nationkey", F.concat(F.lit("nation:"), "n_nationkey").alias("source_id"), F.concat(F.lit("region:"), "n_regionkey").alias("target_id"))
+    nodes = e.agg(F.array_sort(F.collect_list(F.struct("id", "name"))).alias("entities"))
+    links = r.agg(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "source_id", "target_id"))), lambda x: F.struct(x["source_id"].alias("source_id"), x["target_id"].alias("target_id"))).alias("relations"))
+    nodes.crossJoin(links).select(F.to_json(F.struct("entities", "relations")).alias("value")).coalesce(1).write.text(folder)  # one row each
+    made, edges = files.graph(spark, folder)
+    return made.select("id", "name", "seq", F.lit("located").alias("section")).unionByName(edges.select(F.col("source_id").alias("id"), F.col("target_id").alias("name"), F.col("edge_seq").alias("seq"), F.lit("relation").alias("section")))
+
+
+@query("SELECT n_name AS name, 'list' AS category FROM nation UNION ALL SELECT r_name, 'regions' FROM region UNION ALL SELECT n_name || 'c', 'csv' FROM nation")
+def knowledge_base_files(spark, d):
+    folder = _folder(spark, "kb")
+    n, r = t(spark, d, "nation"), t(spark, d, "region")
+    n.agg(F.to_json(F.collect_list(F.struct(F.col("n_name").alias("name")))).alias("value")).write.text(f"{folder}/a")
+    r.agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("r_name").alias("name"))).alias("regions"), F.lit(7).alias("other"))).alias("value")).write.text(f"{folder}/b/c")
+    values(spark, "('{broken')", "value").coalesce(1).write.text(f"{folder}/d")
+    n.select(F.concat("n_name", F.lit("c")).alias("name"), F.lit('a "b", c').alias("note")).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{folder}/e")
+    for part, kind in (("a", "json"), ("b/c", "json"), ("d", "json"), ("e", "csv")):
+        _rename(spark, f"{folder}/{part}", kind)
+    kb = files.knowledge_base(spark, folder)
+    return kb.select(F.col("record")["name"].alias("name"), F.coalesce("_category", F.when(F.col("_source_file").endswith(".csv"), "csv").otherwise("list")).alias("category"))
+
+
+def _rename(spark, folder: str, kind: str) -> None:
+    """Give a folder's part files an ending."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for k, f in enumerate(x for x in fs.listStatus(path(folder)) if x.getPath().getName().startswith("part-")):
+        fs.rename(f.getPath(), path(f"{folder}/{k}.{kind}"))
+
+
+@query("SELECT doc_id, 1 AS made FROM documents")
+def stage_checkpoint(spark, d):
+    """The second asking reads what the first one wrote."""
+    folder, made = _folder(spark, "stages"), []
+
+    def rows():
+        made.append(1)
+        return t(spark, d, "documents").select("doc_id")
+
+    files.stage(spark, rows, folder, "docs")
+    return files.stage(spark, rows, folder, "docs").withColumn("made", F.lit(len(made)))
+
+
+@query(f"WITH {ENT}, {REL} SELECT 'entity' AS section, id, NULL AS target FROM ent WHERE entity_type <> 'part' UNION ALL SELECT 'relation', s, t FROM rel WHERE k <> 'supplied_by' UNION ALL SELECT 'qa', doc_id::VARCHAR, coalesce(l.quality::VARCHAR, d.source) FROM documents d LEFT JOIN labels l USING (doc_id)")
+def sample_bundle(spark, d):
+    """A bundle with the whole graph, its graph replaced by the one without parts."""
+    folder = _folder(spark, "bundle")
+    e, r = entities(spark, d), relations(spark, d)
+    files.save_bundle(e, r, subgraph_ids(spark, d), folder)
+    files.replace_graph(e.filter("entity_type <> 'part'"), r.filter("relation_type <> 'supplied_by'"), folder)
+    read = lambda part, schema: spark.read.schema(schema).json(f"{folder}/{part}")
+    made = read("knowledge_graph/entities", "id string").select(F.lit("entity").alias("section"), "id", F.lit(None).cast("string").alias("target"))
+    made = made.unionByName(read("knowledge_graph/relations", "source_id string, target_id string").select(F.lit("relation").alias("section"), F.col("source_id").alias("id"), F.col("target_id").alias("target")))
+    return made.unionByName(read("qa_pairs", "doc_id string, subgraph string").select(F.lit("qa").alias("section"), F.col("doc_id").alias("id"), F.col("subgraph").alias("target")))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_first_seen(spark, d):
+    folder = _folder(spark, "seen")
+    path = f"{d}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    t(spark, d, "events").write.parquet(f"{folder}/in")
+    stream = events.first_seen(spark.readStream.schema(schema).parquet(f"{folder}/in"), ["user_id", "event_type"], late="60 days").select("user_id", "event_type")
+    q = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema("user_id bigint, event_type string").parquet(f"{folder}/out")
+
+
+@query(ORACLES["greedy_dedup"])
+def stream_greedy_index(spark, d):
+    """The embeddings as one batch of a stream into an index; a replay adds nothing."""
+    folder = _folder(spark, "index")
+    t(spark, d, "embeddings").select("vec_id", "embedding").write.parquet(f"{folder}/in")
+    into = events.greedy_into(f"{folder}/index", "vec_id", "embedding", 0.3)
+    stream = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).parquet(f"{folder}/in")
+    q = stream.writeStream.foreachBatch(into).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    into(spark.read.parquet(f"{folder}/in"), 0)
+    return spark.read.schema("vec_id bigint").parquet(f"{folder}/index").select(F.col("vec_id").alias("id"))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """A graph's sampled questions with their verdicts."""
     return graph_track(spark, d)

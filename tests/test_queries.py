@@ -11,10 +11,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from tessera import queries as own
 
 SMALL = "/root/testdata/sf0.001"
-#: Run at the larger size only: they take long in DuckDB or Spark.
-SLOW = {"graph_track", "frontier_expansion"}
-
-
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
@@ -27,7 +23,7 @@ def shown(rows):
     return sorted(tuple("" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(own.QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(own.QUERIES))
 def test_query(spark, db, name):
     df = own.QUERIES[name](spark, SMALL)
     got = df.collect()

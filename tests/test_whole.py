@@ -14,5 +14,5 @@ def test_communities_and_track_take_the_whole_graph(spark, monkeypatch):
     whole = own.relations(spark, small)
     nodes = {r[0] for r in whole.select("source_id").union(whole.select("target_id")).collect()}
     assert {r.node for r in own.kg_communities(spark, small).select("node").collect()} == nodes
-    monkeypatch.setattr(own.tracks, "graph_track", lambda e, r, *_: (e.count(), r.count()))
+    monkeypatch.setattr(own.tracks, "graph_track", lambda e, r, *_, **__: (e.count(), r.count()))
     assert own.graph_track(spark, small) == (own.entities(spark, small).count(), whole.count())
