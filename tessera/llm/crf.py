@@ -46,7 +46,9 @@ class LinearChain:
         return total, nodes, steps
 
     def fit(self, features: np.ndarray, labels: np.ndarray, mask: np.ndarray, epochs: int, batch: int = 256, rate: float = 0.3, decay: float = 1e-3, seed: int = 7) -> LinearChain:
-        """Adagrad on the regularised log-likelihood. features: (n, length, slots)."""
+        """Adagrad on the regularised log-likelihood, from the present weights.
+        features: (n, length, slots); labels: (n, length), or (n, length, labels) of
+        probabilities, which count as independent of each other."""
         n, kinds = len(features), len(self.start)
         rng = np.random.default_rng(seed)
         seen = [np.full_like(x, 1e-6) for x in (self.weights, self.steps, self.start)]
@@ -54,14 +56,12 @@ class LinearChain:
             for rows in np.array_split(rng.permutation(n), max(1, n // batch)):
                 f, y, m = features[rows], labels[rows], mask[rows]
                 _, nodes, steps = self.forward_backward(self.emissions(f), m)
-                true = np.eye(kinds)[y] * m[..., None]
+                true = (y if y.ndim == 3 else np.eye(kinds)[y]) * m[..., None]
                 error = (nodes - true) / len(rows)
                 slope = np.zeros_like(self.weights)
                 np.add.at(slope, f.reshape(-1), np.repeat(error.reshape(-1, kinds), f.shape[-1], 0))
                 slope[0] = 0
-                both = m[:, 1:] & m[:, :-1]
-                observed = np.zeros_like(self.steps)
-                np.add.at(observed, (y[:, :-1][both], y[:, 1:][both]), 1)
+                observed = np.einsum("nta,ntb->ab", true[:, :-1], true[:, 1:])
                 slopes = slope + decay * self.weights * (slope != 0), (steps - observed) / len(rows) + decay * self.steps, error[:, 0].sum(0) + decay * self.start
                 for x, g, s in zip((self.weights, self.steps, self.start), slopes, seen, strict=True):
                     s += g * g

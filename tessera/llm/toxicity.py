@@ -1,12 +1,15 @@
 """Toxic spans by a linear-chain conditional random field over words.
 
 Fitting. Of the labelled rows it takes the SAMPLE_DOCS of smallest hash per
-label, with their whole texts. Each word has features: itself, and its
-prefixes of PREFIXES letters. A feature is telling if it occurs in at least
-LEAST toxic texts and ODDS times oftener (by share of texts) than in clean
-ones; words with a telling feature in toxic texts are the toxic tokens. The
-field (two labels) is trained on windows of these tokens, and a logistic
-function of a text's marginals on the document labels.
+label, with their whole texts. Each word has features: itself, its prefixes of
+PREFIXES letters and its endings of SUFFIXES. A feature is a candidate if it
+occurs in at least LEAST toxic texts and ODDS times oftener (by share of texts)
+than in clean ones. Documents say only that some token is toxic, so token labels
+are estimated: at first all words with a candidate feature in toxic texts; then,
+in ROUNDS, the field is trained on windows of these labels, and its marginals,
+given that a toxic text has at least one toxic token, are the next labels. What
+the field gives little weight is dropped. A logistic function of a text's
+marginals is fitted on the document labels.
 
 Scoring. A word without weighted features is neutral: all neutral words have
 the same potentials, so a run of them is one power of one matrix, and forward
@@ -37,9 +40,11 @@ from .common import collect_bounded, map_batches
 from .crf import LinearChain
 
 SAMPLE_DOCS = 2000
-PREFIXES = (3, 4, 5, 6)
-LEAST, ODDS = 4, 12.0
-WINDOW, EPOCHS = 24, 12
+PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
+#: Texts and odds from which a feature is a candidate; rounds in which token labels
+#: are estimated anew; weight below which a feature is dropped.
+LEAST, ODDS, ROUNDS, DROPPED = 4, 6.0, 3, 0.3
+WINDOW, EPOCHS = 24, 8
 MAX_MEMO = 100_000
 #: Powers of the neutral matrix kept for each length; longer runs are squared.
 KEPT_POWERS = 64
@@ -47,7 +52,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(word: str) -> list[str]:
-    return ["=" + word, *(f"{n}{word[:n]}" for n in PREFIXES if len(word) > n)]
+    return ["=" + word, *(f"{n}{word[:n]}" for n in PREFIXES if len(word) > n), *(f"-{word[-n:]}" for n in SUFFIXES if len(word) > n)]
 
 
 class Model:
@@ -196,26 +201,41 @@ def train(rows: list[tuple[str, int]]) -> Model:
         counts[y].update({f for w in set(words) for f in features(w)})
     telling = {f for f, n in counts[1].items() if n >= LEAST and n / toxic >= ODDS * (counts[0][f] + 0.5) / clean}
     number = {f: k + 2 for k, f in enumerate(sorted(telling))}
-    slots = 1 + len(PREFIXES) + 1
+    slots = 2 + len(PREFIXES) + len(SUFFIXES)
     neutral = [1] + [0] * (slots - 1)  # feature 1 is the bias that all words have
 
     def coded(word):
         own = [number[f] for f in features(word) if f in number]
         return [1, *own, *[0] * (slots - 1 - len(own))] if own else neutral
 
-    seqs, labels = [], []
-    for words, y in zip(texts, marks, strict=True):
+    seqs, hot, there, owner = [], [], [], []
+    for k, words in enumerate(texts):
         for i in range(0, len(words), WINDOW):
-            part = words[i : i + WINDOW]
-            rows_ = [coded(w) for w in part]
-            hot = [r is not neutral for r in rows_]
-            if any(hot) or i == 0:
-                seqs.append(rows_ + [[0] * slots] * (WINDOW - len(part)))
-                labels.append([int(h and y) for h in hot] + [-1] * (WINDOW - len(part)))
-    y = np.array(labels)
-    chain = LinearChain(len(number) + 2, 2).fit(np.array(seqs), np.maximum(y, 0), y >= 0, EPOCHS)
+            part = [coded(w) for w in words[i : i + WINDOW]]
+            marked = [r is not neutral for r in part]
+            if any(marked) or i == 0:
+                rest = WINDOW - len(part)
+                seqs.append(part + [[0] * slots] * rest)
+                hot.append(marked + [False] * rest)
+                there.append([True] * len(part) + [False] * rest)
+                owner.append(k)
+    seqs, hot, there, owner = np.array(seqs, np.int32).reshape(-1, WINDOW, slots), np.array(hot).reshape(-1, WINDOW), np.array(there).reshape(-1, WINDOW), np.array(owner, np.int64)
+    # A clean text has no toxic token. In a toxic one the candidates are, at first;
+    # then each as likely as the field finds it, given that the text has at least one.
+    likely = hot * np.array(marks, float)[owner][:, None]
+    chain = LinearChain(len(number) + 2, 2)
+    for round_ in range(ROUNDS):
+        chain.fit(seqs, np.stack([1 - likely, likely], -1), there, EPOCHS)
+        if round_ + 1 < ROUNDS:
+            p = np.zeros(hot.shape)
+            for at in np.array_split(np.arange(len(seqs)), max(1, len(seqs) // 1024)):
+                p[at] = chain.forward_backward(chain.emissions(seqs[at]), there[at])[1][..., 1]
+            p = np.clip(p * (likely > 0), 0, 1 - 1e-9)
+            none = np.bincount(owner, np.log1p(-p).sum(1), len(texts))
+            some = np.maximum(1e-9, 1 - np.exp(none))[owner][:, None]
+            likely = np.minimum(1, p / some)
     gain = chain.weights[:, 1] - chain.weights[:, 0]
-    model = Model({f: float(gain[k]) for f, k in number.items()}, float(gain[1]), chain.steps, chain.start, [0.0] * 4)
+    model = Model({f: float(gain[k]) for f, k in number.items() if gain[k] >= DROPPED}, float(gain[1]), chain.steps, chain.start, [0.0] * 4)
     x = np.array([[1.0, *model.summary(len(w), model.marginals(w)[1])] for w in texts])
     t = np.array(marks, float)
     coefficients = np.array([-1.0, 1.0, 1.0, 1.0])
