@@ -12,8 +12,9 @@ target, so that the output holds the whole conversation.
 
 Rows are ordered by turn (null first), then role, then text, so ties and
 repeated rows have one order. Null roles and texts count as empty. A null
-conv_id is a conversation of its own. Other columns are ignored. A conversation
-is gathered whole, as its examples hold it whole.
+conv_id is a conversation of its own. Other columns are ignored; an empty table
+gives no examples. A conversation is gathered whole, however long its texts, as
+its examples hold it whole.
 """
 
 from __future__ import annotations
