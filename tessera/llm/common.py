@@ -28,8 +28,7 @@ def held(owner: str, key, make: Callable, most: int = 1):
     if _held["owner"] != owner:
         _held["made"].clear()
         _held["owner"] = owner
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
     made = _held["made"]
     if key not in made:
         if len(made) >= most:
@@ -38,6 +37,14 @@ def held(owner: str, key, make: Callable, most: int = 1):
     return made[key]
 
 
+def give_back() -> None:
+    """Return to the system what a task has freed: idle workers live on for a while,
+    and the memory that they hold is the executor's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,6 +80,8 @@ def map_batches(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]
             if batch.num_rows:
                 made = work({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in out], schema=out)
+        batch = made = None
+        give_back()
 
     return df.mapInArrow(run, shape)
 
@@ -94,6 +103,8 @@ def filter_batches(df: DataFrame, column: str, keep: Callable[[list], list[bool]
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+        batch = None
+        give_back()
 
     return df.mapInArrow(run, df.schema)
 
@@ -114,6 +125,8 @@ def replace_batches(df: DataFrame, columns: list[str], work: Callable[..., tuple
                 for i, made in zip(places, work(*(arrays[i].to_pylist() for i in places)), strict=True):
                     arrays[i] = pa.array(made, type=out.field(i).type)
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
+        batch = arrays = made = None
+        give_back()
 
     return df.mapInArrow(run, shape)
 

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_batches
+from .common import Scratch, give_back, map_batches
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.75
@@ -205,6 +205,7 @@ def bands(classes: DataFrame) -> DataFrame:
             for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 key = (key ^ key >> np.uint64(shift)) * np.uint64(factor)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).reshape(-1)), pa.array(np.repeat(node, BANDS))], names=["bucket", "node"])
+        give_back()
 
     made = classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
     return made.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
