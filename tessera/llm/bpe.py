@@ -34,10 +34,10 @@ from .common import held, map_batches, replace_batches
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Bounds on the pre-tokens that a worker remembers: entries of each of two memos
 #: (about 200 bytes each), before those of the slice at hand, and characters of one.
-MEMO_PIECES, MEMO_CHARS = 60_000, 64
+MEMO_PIECES, MEMO_CHARS = 100_000, 64
 SLICE_CHARS = 1 << 19
 #: Pre-tokens beyond this go through a queue of their own.
-LONG_BYTES = 16
+LONG_BYTES = 24
 WORD = 64
 
 
