@@ -12,7 +12,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from ..scratch import Scratch, ship
 
-__all__ = ["Scratch", "collect_bounded", "filter_batches", "held", "map_batches", "read_table", "replace_batches", "ship"]
+__all__ = ["Scratch", "collect_bounded", "collect_heaps", "filter_batches", "held", "map_batches", "read_table", "replace_batches", "ship"]
 
 #: Rows and bytes that one Arrow batch brings to a Python worker at most. Texts
 #: may hold 100,000 characters and more, so batches are kept below the defaults.
@@ -45,6 +45,15 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def collect_heaps(spark: SparkSession) -> None:
+    """Have executors collect their heaps and give back what is free. A heap that many
+    small jobs have filled stays large otherwise, beside the Python workers of the
+    stage to come. Tasks go where there is room, so an executor may be left out; that
+    costs memory only."""
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).selectExpr("reflect('java.lang.System', 'gc')").write.format("noop").mode("overwrite").save()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
