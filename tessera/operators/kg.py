@@ -331,11 +331,11 @@ def modularity(e: DataFrame, partition: DataFrame) -> DataFrame:
     return per.agg(F.round(F.sum(part), 6).alias("modularity"), F.sum(F.coalesce("inner", F.lit(0))).alias("inner_edges"), F.max("m").alias("n_edges"))
 
 
-def moves(und: DataFrame, labels: DataFrame, parity: int) -> DataFrame:
+def moves(und: DataFrame, labels: DataFrame, parity: int, m2: float) -> DataFrame:
     """(node, community) after one round of modularity moves. und: (node, neighbour,
-    w) in both directions, self-loops once with both ends' weight; labels: (node,
-    community). Every other node, by its hash, may move, so that no two swap."""
-    m2 = und.agg(F.sum("w")).first()[0]
+    w) in both directions, self-loops once with both ends' weight, ``m2`` in all;
+    labels: (node, community). Every other node, by its hash, may move, so that no
+    two swap."""
     weight = und.groupBy("node").agg(F.sum("w").alias("k"))
     known = weight.join(labels, "node")
     totals = known.groupBy("community").agg(F.sum("k").alias("total"))
@@ -360,13 +360,14 @@ def communities(e: DataFrame, least_gain: float = 1e-4) -> DataFrame:
     if simple.isEmpty():
         return names
     und, best = simple, quality(simple, names)
+    m2 = float(simple.count())  # levels keep the whole weight
     while True:
         labels = scratch.keep(und.select("node").distinct().withColumn("community", F.col("node")))
         level = quality(und, labels)
         while True:
             moved = labels
             for parity in (0, 1):
-                moved = scratch.keep(moves(und, moved, parity))
+                moved = scratch.keep(moves(und, moved, parity, m2))
             now = quality(und, moved)
             if now > level:
                 labels = moved
