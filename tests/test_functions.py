@@ -2,7 +2,9 @@
 
 import pytest
 
-from tessera.functions import calc, sandbox, tables
+from pyspark.sql import functions as F
+
+from tessera.functions import calc, sandbox, tables, text
 from tessera.operators import kg, sampling, similarity
 from tessera.plans import providers, tools
 
@@ -99,3 +101,9 @@ def test_sampling_is_the_same_for_any_partitioning(spark):
     a = sampling.sample_k(df.repartition(1), "k", 7, "s").collect()
     b = sampling.sample_k(df.repartition(9), "k", 7, "s").collect()
     assert a == b
+
+
+def test_references_without_a_semicolon_stay(spark):
+    pages = [("<p>a&amp;&ampamp; x&amp</p>",), ("<p>&copy 2 &notit; &#65 &#65;&copy;</p>",), (None,)]
+    got = spark.createDataFrame(pages, "html string").select(text.page_text(F.col("html")).alias("x"))
+    assert [r.x for r in got.collect()] == ["a&&ampamp; x&amp", "&copy 2 &notit; &#65 A©", None]
