@@ -48,7 +48,7 @@ def greedy_into(index_path: str, id_col: str, vector_col: str, threshold: float)
         if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             index = spark.read.schema(StructType([*rows.schema.fields, StructField("epoch", LongType())])).parquet(index_path).filter(F.col("epoch") < epoch)
             rows = rows.join(similarity.probe(rows, index, id_col, vector_col, threshold).withColumnRenamed("id", id_col), id_col, "left_anti")
-        kept = similarity.greedy_keep(rows, id_col, similarity.similar_pairs(rows, id_col, vector_col, threshold))
+        kept = similarity.greedy_vectors(rows, id_col, vector_col, threshold)
         rows.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi").write.mode("overwrite").parquet(f"{index_path}/epoch={epoch}")
 
     return batch
